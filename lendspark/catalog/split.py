@@ -210,7 +210,9 @@ def model_frame(spark, sf):
 def ml_toy_scores(spark, sf):
     """Scores of the held-out complete rows after training on the others."""
     frame = model.drop_incomplete(model_frame(spark, sf))
-    parts = split.stratified_split(frame, "target", IDS, test_size=0.2, seed=SEED)
+    table = scratch_path(spark, "model-split")
+    split.stratified_split(frame, "target", IDS, test_size=0.2, seed=SEED).write.parquet(table)
+    parts = spark.read.parquet(table)
     train = parts.where(F.col("part") == split.TRAIN).drop("part")
     held_out = parts.where(F.col("part") == split.SIMULATION).drop("part")
     fitted = model.fit_logistic(train, "target", *IDS)

@@ -29,27 +29,26 @@ def parse_events(records: DataFrame, payload: T.StructType = CDC_PAYLOAD_SCHEMA)
     Text that is not JSON gives nulls throughout, and a field of the wrong type is null
     by itself.
     """
+    text = F.col("value").cast("string")
     parsed = records.select(
-        F.from_json(F.col("value").cast("string"), either_envelope(payload)).alias("e"),
+        # Exploding a single value keeps later filters above the parse; pushed below a
+        # plain projection they would parse every record a second time.
+        F.explode(F.array(F.from_json(text, either_envelope(payload)))).alias("event"),
         F.col("key").cast("string").alias("kafka_key"),
         F.col("timestamp").cast("timestamp").alias("kafka_timestamp"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
     )
-
-    def field(path: str) -> Column:
-        wrapped, flat = F.col(f"e.payload.{path}"), F.col(f"e.{path}")
-        return F.when(F.col("e.payload").isNotNull(), wrapped).otherwise(flat)
-
-    image: T.StructType = payload["after"].dataType
-    return parsed.select(
-        *(field(f"after.{name}").alias(name) for name in image.fieldNames()),
-        field("op").alias("cdc_operation"),
-        field("ts_ms").alias("cdc_timestamp_ms"),
-        field("source.db").alias("source_database"),
-        field("source.schema").alias("source_schema"),
-        field("source.table").alias("source_table"),
+    flat = F.struct(*(F.col(f"event.{name}") for name in payload.fieldNames()))
+    envelope = F.coalesce("event.payload", flat).alias("event")
+    return parsed.select(envelope, *EVENT_COLUMNS[5:]).select(
+        "event.after.*",
+        F.col("event.op").alias("cdc_operation"),
+        F.col("event.ts_ms").alias("cdc_timestamp_ms"),
+        F.col("event.source.db").alias("source_database"),
+        F.col("event.source.schema").alias("source_schema"),
+        F.col("event.source.table").alias("source_table"),
         *EVENT_COLUMNS[5:],
     )
 

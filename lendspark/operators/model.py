@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -95,19 +96,22 @@ def feature_stages(train: DataFrame, columns: FeatureColumns) -> list:
 
 def fit_logistic(train: DataFrame, label: str, *ids: str) -> PipelineModel:
     """Features and an L2 logistic regression, fitted on complete rows of ``train``."""
-    complete = drop_incomplete(train)
-    columns = FeatureColumns.of(complete, label, *ids)
-    classifier = LogisticRegression(
-        labelCol=label,
-        maxIter=MAX_ITERATIONS,
-        tol=TOLERANCE,
-        # The inverse penalty applies to the summed loss; Spark penalizes the mean loss.
-        regParam=1.0 / (INVERSE_PENALTY * max(1, complete.count())),
-        elasticNetParam=0.0,
-        standardization=False,
-        fitIntercept=True,
-    )
-    return Pipeline(stages=[*feature_stages(complete, columns), classifier]).fit(complete)
+    complete = drop_incomplete(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        columns = FeatureColumns.of(complete, label, *ids)
+        classifier = LogisticRegression(
+            labelCol=label,
+            maxIter=MAX_ITERATIONS,
+            tol=TOLERANCE,
+            # The inverse penalty applies to the summed loss; Spark penalizes the mean loss.
+            regParam=1.0 / (INVERSE_PENALTY * max(1, complete.count())),
+            elasticNetParam=0.0,
+            standardization=False,
+            fitIntercept=True,
+        )
+        return Pipeline(stages=[*feature_stages(complete, columns), classifier]).fit(complete)
+    finally:
+        complete.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendspark.functions.columns import require_columns
 from lendspark.operators.ordering import running_total
+from lendspark.session import ensure_checkpoint_dir
 from lendspark.sources.text import read_csv, read_json, write_csv, write_json
 
 # Names of the written parts and of their description.
@@ -92,52 +94,51 @@ def stratified_split(
 ) -> DataFrame:
     """Rows with a ``part`` of train or simulation, each class in exact proportion.
 
-    Every class sends its rows with the smallest hashes to training. Rows per (class,
-    hash prefix) tell in which bucket the quota of a class ends; only the rows of that one
-    bucket are ranked, so no task sorts a whole class. ``id_columns`` identify a row.
-    Rows without a label, which have no class, are an error, as is a class of one row.
+    Every class sends its rows with the smallest hashes to training, so a split is known
+    by the last training row of each class. Row counts per (class, hash prefix) tell which
+    bucket holds it, and only that bucket is ranked: no task sorts a whole class, and the
+    full rows are read once, without a shuffle. ``id_columns`` must identify a row. Rows
+    without a label, which have no class, are an error, as is a class of one row.
     """
     require_columns(df, label, *id_columns)
+    ensure_checkpoint_dir(df.sparkSession)
     hashed = df.withColumn("_hash", row_hash(seed, id_columns))
     bucket = F.conv(F.substring("_hash", 1, BUCKET_DIGITS), 16, 10).cast("int")
-    hashed = hashed.withColumn("_bucket", bucket)
-    buckets = hashed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    counts = buckets.groupBy(label).agg(F.sum("n").alias("rows"))
+    keys = hashed.select(F.col(label).alias("_class"), "_hash", *id_columns, bucket.alias("_bucket"))
+    # Read several times below and small next to the data: at most 16 ** 4 rows per class.
+    buckets = keys.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    counts = buckets.groupBy("_class").agg(F.sum("n").alias("rows"))
     facts = counts.agg(
         F.sum("rows").alias("rows"),
         F.min("rows").alias("smallest"),
-        F.count(F.when(F.col(label).isNull(), 1)).alias("unlabelled"),
+        F.count(F.when(F.col("_class").isNull(), 1)).alias("unlabelled"),
         F.count(F.lit(1)).alias("classes"),
     ).first()
     if facts.unlabelled or (facts.smallest or 0) < 2:
         raise ValueError("every row needs a label and every class at least two rows")
     n_train = train_size(facts.rows, train_ratio, test_size)
 
-    quotas = class_quotas(counts, label, facts.rows, n_train).withColumnRenamed(label, "_class")
-    # At most one row per (class, bucket), so a window task holds at most 16 ** 4 rows.
-    before = F.sum("n").over(Window.partitionBy(label).orderBy("_bucket")) - F.col("n")
+    quotas = class_quotas(counts, "_class", facts.rows, n_train)
+    before = F.sum("n").over(Window.partitionBy("_class").orderBy("_bucket")) - F.col("n")
     edges = (
-        buckets.withColumn("before", before)
-        .join(quotas, F.col(label) == F.col("_class"))
-        .where((F.col("before") <= F.col("quota")) & (F.col("quota") < F.col("before") + F.col("n")))
-        .select("_class", F.col("_bucket").alias("_edge"), (F.col("quota") - F.col("before")).alias("_take"))
+        buckets.withColumn("_before", before)
+        .join(quotas, "_class")
+        .where((F.col("_before") < F.col("quota")) & (F.col("quota") <= F.col("_before") + F.col("n")))
+        .select("_class", "_bucket", (F.col("quota") - F.col("_before")).alias("_take"))
     )
-    if facts.classes <= BROADCAST_CLASSES:
-        edges = F.broadcast(edges)
-    # A class that trains on all of its rows has no edge bucket.
-    placed = hashed.join(edges, F.col(label) == F.col("_class"), "left")
-    inside = placed.where(F.col("_bucket") == F.col("_edge"))
-    outside = placed.where(F.col("_edge").isNull() | (F.col("_bucket") != F.col("_edge")))
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_hash", *id_columns))
-
-    def named(is_train: Column) -> Column:
-        return F.when(is_train, TRAIN).otherwise(SIMULATION).alias(part)
-
-    return inside.withColumn("_rank", rank).select(
-        *df.columns, named(F.col("_rank") <= F.col("_take"))
-    ).unionByName(
-        outside.select(*df.columns, named(F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(True))))
+    few = facts.classes <= BROADCAST_CLASSES
+    place = F.row_number().over(Window.partitionBy("_class").orderBy("_hash", *id_columns))
+    last_rows = (
+        keys.join(F.broadcast(edges) if few else edges, ["_class", "_bucket"])
+        .withColumn("_place", place)
+        .where(F.col("_place") == F.col("_take"))
+        .select("_class", F.struct("_hash", *id_columns).alias("_last"))
     )
+    # A class with no training row has no last one.
+    is_train = F.coalesce(F.struct("_hash", *id_columns) <= F.col("_last"), F.lit(False))
+    return hashed.join(
+        F.broadcast(last_rows) if few else last_rows, F.col(label) == F.col("_class"), "left"
+    ).select(*df.columns, F.when(is_train, TRAIN).otherwise(SIMULATION).alias(part))
 
 
 def plain_split(
@@ -203,11 +204,16 @@ def write_split(
 ) -> None:
     """The three CSV tables of a split and the JSON that describes it."""
     folder = folder.rstrip("/")
-    of = {p: split.where(F.col(part) == p).drop(part) for p in (TRAIN, SIMULATION)}
-    write_csv(of[TRAIN], f"{folder}/{TRAIN_FILE}")
-    write_csv(of[SIMULATION].drop(label), f"{folder}/{FEATURES_FILE}")
-    write_csv(of[SIMULATION], f"{folder}/{LABELLED_FILE}")
-    write_json(split_metadata(split, label, train_ratio, seed, source, part), f"{folder}/{METADATA_FILE}")
+    split = split.persist(StorageLevel.DISK_ONLY)
+    try:
+        of = {p: split.where(F.col(part) == p).drop(part) for p in (TRAIN, SIMULATION)}
+        write_csv(of[TRAIN], f"{folder}/{TRAIN_FILE}")
+        write_csv(of[SIMULATION].drop(label), f"{folder}/{FEATURES_FILE}")
+        write_csv(of[SIMULATION], f"{folder}/{LABELLED_FILE}")
+        metadata = split_metadata(split, label, train_ratio, seed, source, part)
+        write_json(metadata, f"{folder}/{METADATA_FILE}")
+    finally:
+        split.unpersist()
 
 
 def read_split_metadata(spark: SparkSession, folder: str) -> DataFrame:
