@@ -22,7 +22,9 @@ def numbered(df: DataFrame, order: list[Column], name: str = "row_no") -> DataFr
     position = F.monotonically_increasing_id()
     placed = (
         df.orderBy(*order)
-        .withColumns({"_slice": F.shiftright(position, 33), "_at": position.bitwiseAND((1 << 33) - 1)})
+        .withColumns(
+            {"_slice": F.shiftright(position, 33), "_at": position.bitwiseAND((1 << 33) - 1)}
+        )
         .checkpoint()
     )
     sizes = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
@@ -66,18 +68,20 @@ def running_total(
     cut into runs of consecutive positions, whose sums are few.
     """
     def earlier(column: str, window) -> Column:
-        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        rows = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(column).over(rows), F.lit(0))
 
     if df.limit(small + 1).count() <= small:
         one = Window.orderBy(*order)
         return df.withColumns({out: earlier(col, one) for out, col in totals.items()})
     runs = numbered(df, order, "_row_no").withColumn("_run", F.expr(f"_row_no div {small}"))
-    ensure_checkpoint_dir(df.sparkSession)
-    heads = runs.groupBy("_run").agg(*(F.sum(c).alias(f"_t_{o}") for o, c in totals.items()))
-    # The heads are smaller by the factor ``small``; the same step sums them up.
+    heads = runs.groupBy(F.col("_run").alias("_head")).agg(
+        *(F.sum(c).alias(f"_t_{o}") for o, c in totals.items())
+    )
+    # The heads are fewer by the factor ``small``; the same step sums them up.
     heads = running_total(
-        heads, [F.col("_run")], {f"_b_{o}": f"_t_{o}" for o in totals}, small
-    ).select("_run", *(f"_b_{o}" for o in totals))
+        heads, [F.col("_head")], {f"_b_{o}": f"_t_{o}" for o in totals}, small
+    ).select(F.col("_head").alias("_run"), *(f"_b_{o}" for o in totals))
     within = Window.partitionBy("_run").orderBy("_row_no")
     return (
         runs.join(heads, "_run")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -82,11 +82,35 @@ def preview(df: DataFrame, columns: list[str], rows: int = PREVIEW_ROWS) -> Data
 
 
 def _write_counted(df: DataFrame, path: str) -> int:
-    """Replace one batch folder and count its rows in the same job."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_partitioned(counted, path, mode="overwrite")
-    return seen.get["rows"]
+    """Replace one batch folder; the rows it then holds, which Parquet footers tell."""
+    write_partitioned(df, path, mode="overwrite")
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
+def land_batch(
+    batch: DataFrame,
+    folder: str,
+    bki: DataFrame,
+    balance: DataFrame,
+    tables: LakeTables,
+    at: Column,
+) -> tuple[int, int] | None:
+    """Land row events in ``folder`` of both tables; their row counts, or None if empty.
+
+    Running it again replaces what it wrote. Credits go first: an application that is
+    visible has its credits.
+    """
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if batch.isEmpty():
+            return None
+        known = narrowed(bki, batch)
+        credits = land_credits(bureau_credits(batch, known, balance), at)
+        n_credits = _write_counted(credits, f"{tables.bureau_credits}/{folder}")
+        applications = land_applications(enrich(batch, known, balance, F.unix_millis(at)), at)
+        return _write_counted(applications, f"{tables.applications}/{folder}"), n_credits
+    finally:
+        batch.unpersist()
 
 
 def start_ingest(
@@ -100,38 +124,26 @@ def start_ingest(
 ) -> StreamingQuery:
     """Parse, enrich and land broker records.
 
-    A batch writes ``<table>/query_id=<id>/batch_id=<n>`` in overwrite mode, so running it
-    again replaces it. Credits go first: an application that is visible has its credits.
-    ``trigger`` takes the keywords of ``DataStreamWriter.trigger``.
+    Each batch owns the folder ``<table>/query_id=<id>/batch_id=<n>``, so a replay after a
+    failure, even on another day, leaves no duplicates. ``trigger`` takes the keywords of
+    ``DataStreamWriter.trigger``; ``at`` is the processing time, by default the current.
     """
     now = F.current_timestamp() if at is None else at
-    events = keep_row_events(parse_events(records))
 
     def land(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"query_id={query_id}/batch_id={batch_id}"
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                return
-            credits_of_batch = narrowed(bki, batch)
-            credits = bureau_credits(batch, credits_of_batch, balance)
-            enriched = enrich(batch, credits_of_batch, balance, F.unix_millis(now))
-            n_credits = _write_counted(
-                land_credits(credits, now), f"{tables.bureau_credits}/{folder}"
-            )
-            n_applications = _write_counted(
-                land_applications(enriched, now), f"{tables.applications}/{folder}"
-            )
-        finally:
-            batch.unpersist()
-        report = BatchReport(batch_id, n_applications, n_credits)
-        log.info("batch %s: %.2f credits per application", report, report.ratio)
+        landed = land_batch(batch, folder, bki, balance, tables, now)
+        if landed is None:
+            return
+        report = BatchReport(batch_id, *landed)
+        log.info("%s: %.2f credits per application", report, report.ratio)
         if on_batch is not None:
             on_batch(report)
 
     return (
-        events.writeStream.foreachBatch(land)
+        keep_row_events(parse_events(records))
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", tables.checkpoint)
         .trigger(**(trigger or {"processingTime": TRIGGER}))
         .start()

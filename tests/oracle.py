@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import decimal
+import io
 import math
 from collections import Counter
 
@@ -53,3 +55,11 @@ def differences(df, db, sql: str) -> list[str]:
     for row in list((wanted - got).items())[:3]:
         found.append(f"only in DuckDB: {row}")
     return found
+
+
+def plan_text(df) -> str:
+    """The formatted physical plan."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
