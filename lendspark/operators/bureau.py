@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.functions.columns import select_existing
+from lendspark.operators.joins import narrowed
 from lendspark.operators.ordering import page
 from lendspark.sources.schemas import CREDIT_COLUMNS, CREDIT_SCHEMA
 
@@ -49,8 +50,9 @@ def answer_order(df: DataFrame) -> list[Column]:
 
 
 def lookup(bki: DataFrame, balance: DataFrame, reco_id_curr: int) -> DataFrame:
-    """Credits and balances of one application. The id reaches the scan of ``bki``."""
-    rows = credit_balances(bki.where(F.col("reco_id_curr") == F.lit(reco_id_curr)), balance)
+    """Credits and balances of one application. The ids reach the scans of both tables."""
+    credits = bki.where(F.col("reco_id_curr") == F.lit(reco_id_curr))
+    rows = credit_balances(credits, narrowed(balance, credits, "reco_bureau_id"))
     return rows.orderBy(*answer_order(rows))
 
 

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from lendspark.functions.lookup import lookup_columns
 from lendspark.operators.bureau import credit_balances
+from lendspark.operators.joins import narrowed
 from lendspark.sources.schemas import CREDIT_COLUMNS
 
-# Distinct keys of a batch that travel into the bureau scan as literals.
-PUSHED_KEYS = 1_000
 # Credits one array may hold; an application with more gets several arrays.
 ARRAY_ITEMS = 10_000
 
@@ -19,19 +18,6 @@ BUREAU_CREDIT_COLUMNS = [
 ]
 
 
-def narrowed(bki: DataFrame, applications: DataFrame, pushed_keys: int = PUSHED_KEYS) -> DataFrame:
-    """Credits of the applications in a batch.
-
-    The few keys of a small batch become an IN filter, which prunes row groups of a
-    bureau table kept in key order. A larger batch narrows by a semi join.
-    """
-    keys = applications.select("reco_id_curr").where(F.col("reco_id_curr").isNotNull()).distinct()
-    some = keys.limit(pushed_keys + 1).collect()
-    if len(some) <= pushed_keys:
-        return bki.where(F.col("reco_id_curr").isin([r.reco_id_curr for r in some]))
-    return bki.join(keys, "reco_id_curr", "left_semi")
-
-
 def lookup_counts(bki: DataFrame, balance: DataFrame) -> DataFrame:
     """Rows a lookup returns per application: its credits times their balances.
 
@@ -68,6 +54,14 @@ def bureau_credits(applications: DataFrame, bki: DataFrame, balance: DataFrame)
     return applications.select("reco_id_curr").join(credits, "reco_id_curr").select(*columns)
 
 
+def of_batch(
+    applications: DataFrame, bki: DataFrame, balance: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Both bureau tables narrowed to the applications of a batch."""
+    known = narrowed(bki, applications, "reco_id_curr")
+    return known, narrowed(balance, known, "reco_bureau_id")
+
+
 def credit_arrays(
     bki: DataFrame, balance: DataFrame, max_items: int = ARRAY_ITEMS
 ) -> DataFrame:

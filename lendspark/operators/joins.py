@@ -12,6 +12,8 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 50_000
 # Copies of one row that stay together when the copies of a hot row are spread.
 COPIES_TOGETHER = 1_000
+# Distinct keys that may travel into the scan of another table as literals.
+PUSHED_KEYS = 1_000
 
 
 def key_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -32,14 +34,28 @@ def assert_unique(df: DataFrame, *keys: str) -> DataFrame:
     return df
 
 
+def narrowed(
+    df: DataFrame, rows: DataFrame, key: str, pushed_keys: int = PUSHED_KEYS
+) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``rows``.
+
+    A few keys become an IN filter, which prunes row groups of a table kept in key order
+    and needs no shuffle. More keys narrow by a semi join.
+    """
+    keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    some = keys.limit(pushed_keys + 1).collect()
+    if len(some) <= pushed_keys:
+        return df.where(F.col(key).isin([r[key] for r in some]))
+    return df.join(keys, key, "left_semi")
+
+
 def hot_keys(
-    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT_KEYS
+    counts: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT_KEYS
 ) -> DataFrame | None:
     """Hot keys with the number of salts each needs, or None when there are none.
 
-    Reads the key column once to decide; the decision keeps the usual case a plain join.
+    Runs over ``key_counts`` once to decide; the decision keeps the usual case a plain join.
     """
-    counts = key_counts(df, key)
     size = counts.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
     bound = max(hot_rows, (size.total or 0) // max_hot)
     if (size.largest or 0) <= bound:
@@ -118,18 +134,25 @@ def key_join(
     how: str = "left",
     null_safe: bool = False,
     hot_rows: int = HOT_ROWS,
+    right_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join on one equally named key; columns other than the key must differ in name.
 
     ``how`` is left, inner, right or outer. Spark splits skewed partitions of an inner
     join on both sides, but never the side an outer join may fill with nulls. For that
     side this finds hot keys, spreads their rows over salts and repeats the partner rows
-    per salt, so that every pair still meets exactly once.
+    per salt, so that every pair still meets exactly once. ``right_counts`` gives the rows
+    per key of the right side where they are known cheaper than by counting it; it may
+    leave out keys, which then count as not hot, but not name keys the side lacks.
     """
     if how not in ("left", "inner", "right", "outer"):
         raise ValueError(f"unknown join type: {how}")
-    hot_right = hot_keys(right, key, hot_rows) if how in ("left", "outer") else None
-    hot_left = hot_keys(left, key, hot_rows) if how in ("right", "outer") else None
+    hot_left = hot_right = None
+    if how in ("left", "outer"):
+        counts = key_counts(right, key) if right_counts is None else right_counts
+        hot_right = hot_keys(counts, key, hot_rows)
+    if how in ("right", "outer"):
+        hot_left = hot_keys(key_counts(left, key), key, hot_rows)
     if hot_left is None and hot_right is None:
         return _plain(left, right, key, how, null_safe)
 

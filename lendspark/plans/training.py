@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lendspark.functions.columns import non_null_counts, select_existing
 from lendspark.operators.enrich import BUREAU_CREDIT_COLUMNS
-from lendspark.operators.joins import assert_unique, key_join
+from lendspark.operators.joins import assert_unique, key_counts, key_join
 from lendspark.sources.schemas import APPLICATION_COLUMNS
 
 # How far back loans and monthly balances count.
@@ -94,19 +94,20 @@ def recent_balances(balance: DataFrame) -> DataFrame:
     return balance.where(F.col("months_balance").between(*RECENT_MONTHS))
 
 
-def prior_loans_wide(tables: PriorLoans) -> DataFrame:
-    """Recent loans with recent balances and all installments, one row per combination.
-
-    The month ranges belong to the join, so they filter the balance tables beforehand: a
-    loan without a recent balance stays. Children of loans outside the range go before
-    any shuffle where Spark finds a runtime filter worth it.
-    """
-    wide = _project(recent_loans(tables.previous_loan), PREVIOUS_LOAN_COLUMNS)
-    children = (
+def _children(tables: PriorLoans) -> tuple[tuple[str, DataFrame, str], ...]:
+    """Tables that hang off a loan. Their month ranges belong to the join, so they filter
+    the table beforehand: a loan without a recent balance stays."""
+    return (
         ("_cpb", recent_balances(tables.cash_pos_balance), CASH_POS_COLUMNS),
         ("_ccb", recent_balances(tables.credit_card_balance), CREDIT_CARD_COLUMNS),
         ("_ip", tables.installments_payments, INSTALLMENT_COLUMNS),
     )
+
+
+def prior_loans_wide(tables: PriorLoans) -> DataFrame:
+    """Recent loans with recent balances and all installments, one row per combination."""
+    wide = _project(recent_loans(tables.previous_loan), PREVIOUS_LOAN_COLUMNS)
+    children = _children(tables)
     for tag, child, columns in children:
         wide = key_join(wide, _project(child, columns, tag), "reco_id_last", "left")
     tags = [tag for tag, _, _ in children]
@@ -119,6 +120,21 @@ def prior_loans_wide(tables: PriorLoans) -> DataFrame:
     return wide.select(*(c.alias(n) for n, c in merged.items()), *rest)
 
 
+def prior_loan_counts(tables: PriorLoans) -> DataFrame:
+    """Rows of ``prior_loans_wide`` per application that a loan names, from key columns.
+
+    A loan has as many rows as the product of its children per table, each at least one.
+    """
+    loans = recent_loans(tables.previous_loan).where(F.col("reco_id_curr").isNotNull())
+    rows = loans.select("reco_id_last", "reco_id_curr", F.lit(1).cast("long").alias("n"))
+    for _, child, _ in _children(tables):
+        counts = key_counts(child, "reco_id_last")
+        rows = rows.join(counts, "reco_id_last", "left").select(
+            "reco_id_last", "reco_id_curr", (F.col("n") * F.coalesce("rows", F.lit(1))).alias("n")
+        )
+    return rows.groupBy("reco_id_curr").agg(F.sum("n").alias("rows"))
+
+
 def applications_with_credits(
     applications: DataFrame, credits: DataFrame, validate: bool = True
 ) -> DataFrame:
@@ -130,6 +146,10 @@ def applications_with_credits(
         applications = assert_unique(applications, "reco_id_curr")
     shared = (set(applications.columns) & set(credits.columns)) - {"reco_id_curr"}
     credits = credits.withColumnsRenamed({c: f"{c}_bureau" for c in shared})
+    # Each application multiplies by its credits, and later by its loans: spread them in
+    # the partitioning of those joins before, rather than as few files as they come in.
+    width = int(applications.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    applications = applications.repartition(width, "reco_id_curr")
     return key_join(applications, credits, "reco_id_curr", "left")
 
 
@@ -152,7 +172,9 @@ def training_set(
         order = order + [c for c in loans.columns if c != "reco_id_curr"]
         shared = (set(joined.columns) & set(loans.columns)) - {"reco_id_curr"}
         loans = loans.withColumnsRenamed({c: f"{c}_prev" for c in shared})
-        joined = key_join(joined, loans, "reco_id_curr", "left")
+        joined = key_join(
+            joined, loans, "reco_id_curr", "left", right_counts=prior_loan_counts(prior)
+        )
     return select_existing(joined, order)
 
 

@@ -20,14 +20,21 @@ def with_date_parts(df: DataFrame, day: Column | str) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: tuple[str, ...] = DATE_PARTS, mode: str = "append"
+    df: DataFrame,
+    path: str,
+    by: tuple[str, ...] = DATE_PARTS,
+    mode: str = "append",
+    rebalance: bool = True,
 ) -> None:
     """Partitioned Parquet write.
 
     The rebalance hint gathers small slices of a partition into few files and lets AQE
-    split a partition value that holds far more rows than the others.
+    split a partition value that holds far more rows than the others. Rows of a single
+    partition value do not need it, nor the shuffle it costs.
     """
-    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    if rebalance:
+        df = df.hint("rebalance", *by)
+    df.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def scan_all(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lendspark.functions.columns import share_of
 from lendspark.functions.lookup import quality_score
 from lendspark.operators.cdc import keep_row_events, parse_events
-from lendspark.operators.enrich import bureau_credits, enrich, narrowed
+from lendspark.operators.enrich import bureau_credits, enrich, of_batch
 from lendspark.sources.lake import with_date_parts, write_partitioned
 
 log = logging.getLogger(__name__)
@@ -83,7 +83,8 @@ def preview(df: DataFrame, columns: list[str], rows: int = PREVIEW_ROWS) -> Data
 
 def _write_counted(df: DataFrame, path: str) -> int:
     """Replace one batch folder; the rows it then holds, which Parquet footers tell."""
-    write_partitioned(df, path, mode="overwrite")
+    # A batch has one processing date.
+    write_partitioned(df, path, mode="overwrite", rebalance=False)
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
@@ -104,10 +105,10 @@ def land_batch(
     try:
         if batch.isEmpty():
             return None
-        known = narrowed(bki, batch)
-        credits = land_credits(bureau_credits(batch, known, balance), at)
+        bki, balance = of_batch(batch, bki, balance)
+        credits = land_credits(bureau_credits(batch, bki, balance), at)
         n_credits = _write_counted(credits, f"{tables.bureau_credits}/{folder}")
-        applications = land_applications(enrich(batch, known, balance, F.unix_millis(at)), at)
+        applications = land_applications(enrich(batch, bki, balance, F.unix_millis(at)), at)
         return _write_counted(applications, f"{tables.applications}/{folder}"), n_credits
     finally:
         batch.unpersist()

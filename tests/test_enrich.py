@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendspark.functions.lookup import quality_score
-from lendspark.operators import enrich
+from lendspark.operators import enrich, joins
 from tests.oracle import plan_text
 
 BKI = "reco_id_curr INT, reco_bureau_id INT, credit_sum DOUBLE, annuity_payment DOUBLE"
@@ -70,15 +70,15 @@ def test_annuity_is_renamed(apps, bki, balance):
 
 @pytest.mark.parametrize("pushed", [0, 1000])
 def test_narrowing_keeps_the_result(apps, bki, balance, pushed):
-    few = enrich.narrowed(bki, apps, pushed)
+    few = joins.narrowed(bki, apps, "reco_id_curr", pushed)
     assert {r.reco_id_curr for r in few.collect()} == {1, 2}
     a = enrich.enrich(apps, few, balance, F.lit(1)).collect()
     assert Counter(a) == Counter(enrich.enrich(apps, bki, balance, F.lit(1)).collect())
 
 
-def test_small_batch_filters_the_bureau_scan(spark, tmp_path, apps, bki):
+def test_small_batch_filters_the_bureau_scan(spark, tmp_path, apps, bki, balance):
     bki.write.parquet(str(tmp_path / "bki"))
-    few = enrich.narrowed(spark.read.parquet(str(tmp_path / "bki")), apps)
+    few, _ = enrich.of_batch(apps, spark.read.parquet(str(tmp_path / "bki")), balance)
     assert "PushedFilters: [In(reco_id_curr, [1,2,3])]" in plan_text(few)
 
 

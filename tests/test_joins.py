@@ -48,13 +48,13 @@ def test_hot_key_with_copies_keeps_every_row(spark, how, monkeypatch):
 
 def test_hot_join_spreads_the_hot_key(spark):
     right = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("y"))
-    hot = joins.hot_keys(right, "k", hot_rows=100)
+    hot = joins.hot_keys(joins.key_counts(right, "k"), "k", hot_rows=100)
     assert [tuple(r) for r in hot.collect()] == [(1, 30)]
-    assert joins.hot_keys(right, "k") is None
+    assert joins.hot_keys(joins.key_counts(right, "k"), "k") is None
 
 
 def test_hot_key_count_is_bounded(spark):
-    df = spark.range(2000).select((F.col("id") % 100).alias("k"))
+    df = joins.key_counts(spark.range(2000).select((F.col("id") % 100).alias("k")), "k")
     assert joins.hot_keys(df, "k", hot_rows=1, max_hot=50) is None  # 20 rows each, bound 40
     assert joins.hot_keys(df, "k", hot_rows=1, max_hot=200).count() <= 200
 
