@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from lendspark.catalog import roles
 from lendspark.catalog.registry import plain_numbers, query
 from lendspark.functions.columns import keep_first_names, non_null_counts
-from lendspark.operators import enrich, joins, model
+from lendspark.operators import cdc, enrich, joins, model
 from lendspark.plans import training
+from lendspark.session import scratch_path
 
 _EXPORTED_AT = "2025-10-28 09:30:00"
 
@@ -81,6 +82,38 @@ def training_set_without_prior(spark, sf):
     return plain_numbers(training_frame(spark, sf, with_prior=False))
 
 
+@query(
+    "training_set_current",
+    roles.sql(
+        f"""
+        , a AS (SELECT user_id AS reco_id_curr, CAST(target AS SMALLINT) AS target,
+                       contract_type_name, CAST(income AS DOUBLE) AS income,
+                       CAST(hour_of_approval_process_start AS SMALLINT)
+                           AS hour_of_approval_process_start
+                FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+                          ORDER BY cdc_timestamp_ms DESC, kafka_offset DESC) AS rn FROM cdc)
+                WHERE rn = 1 AND cdc_operation <> 'd')
+        SELECT a.*, c.reco_bureau_id, {_LAKE_CREDITS}, p.* EXCLUDE (reco_id_curr)
+        FROM a LEFT JOIN credits c ON a.reco_id_curr = c.reco_id_curr
+        LEFT JOIN prior p ON a.reco_id_curr = p.reco_id_curr""",
+        "cdc", "credits", "prior",
+    ),
+)
+def training_set_current(spark, sf):
+    """From change events: latest version of each application, typed, then joined."""
+    events = cdc.parse_events(roles.broker_records(roles.table(spark, sf, "events")))
+    path = scratch_path(spark, "current-applications")
+    cdc.typed_applications(
+        cdc.current_state(events).select(
+            "reco_id_curr", "target", "contract_type_name", "income",
+            "hour_of_approval_process_start",
+        )
+    ).write.parquet(path)
+    current = spark.read.parquet(path)
+    credits = enrich.bureau_credits(current, roles.bki(spark, sf), roles.balance(spark, sf))
+    return plain_numbers(training.training_set(current, credits, roles.prior_loans(spark, sf)))
+
+
 @query(
     "source_coverage",
     roles.sql(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.operators.ordering import SMALL_ROWS, running_total
+from lendspark.session import ensure_checkpoint_dir
 
 
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -38,20 +39,19 @@ def roc_auc(
     """Exact area under the ROC curve by rank sums; ties count half.
 
     Rows fold to one per distinct score first, so however many share a score, the rest of
-    the work is over distinct scores. Null when a class is missing.
+    the work is over distinct scores. They are kept, as their number decides how to rank
+    them. Null when a class is missing.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     per_score = df.groupBy(F.col(score).alias("score")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
         F.count(F.when(F.col(label) == 0, 1)).alias("neg"),
-    )
+    ).checkpoint()
     ranked = running_total(per_score, [F.col("score")], {"below": "neg"}, small)
-    wide = "decimal(38,0)"
     # Twice the number of (negative, positive) pairs in the right order.
-    won = F.sum(
-        (F.col("pos").cast("decimal(18,0)") * (2 * F.col("below") + F.col("neg")).cast("decimal(19,0)"))
-    )
+    won = F.col("pos").cast("decimal(18,0)") * (2 * F.col("below") + F.col("neg")).cast("decimal(19,0)")
     return ranked.agg(
-        won.cast(wide).cast("double").alias("won2"),
+        F.sum(won).cast("double").alias("won2"),
         F.sum("pos").alias("positives"),
         F.sum("neg").alias("negatives"),
     ).select(

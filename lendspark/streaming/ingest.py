@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -127,14 +128,14 @@ def start_ingest(
 
     Each batch owns the folder ``<table>/query_id=<id>/batch_id=<n>``, so a replay after a
     failure, even on another day, leaves no duplicates. ``trigger`` takes the keywords of
-    ``DataStreamWriter.trigger``; ``at`` is the processing time, by default the current.
+    ``DataStreamWriter.trigger``. ``at`` is a constant processing time; by default each
+    batch takes the time of its start, the same for both tables.
     """
-    now = F.current_timestamp() if at is None else at
-
     def land(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"query_id={query_id}/batch_id={batch_id}"
-        landed = land_batch(batch, folder, bki, balance, tables, now)
+        started = F.lit(datetime.now(timezone.utc)) if at is None else at
+        landed = land_batch(batch, folder, bki, balance, tables, started)
         if landed is None:
             return
         report = BatchReport(batch_id, *landed)
