@@ -216,6 +216,22 @@ def write_split(
         split.unpersist()
 
 
+def split_csv(
+    spark: SparkSession,
+    path: str,
+    folder: str,
+    label: str,
+    id_columns: list[str],
+    train_ratio: float = 0.9,
+    seed: int = 42,
+    schema: str | None = None,
+) -> None:
+    """Split a CSV table into the three tables and the description of ``write_split``."""
+    table = read_csv(spark, path, schema)
+    parts = stratified_split(table, label, id_columns, train_ratio=train_ratio, seed=seed)
+    write_split(parts, folder, label, train_ratio, seed, path)
+
+
 def read_split_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return read_json(spark, f"{folder.rstrip('/')}/{METADATA_FILE}", METADATA_DDL)
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.functions.columns import non_null_counts, select_existing
 from lendspark.operators.enrich import BUREAU_CREDIT_COLUMNS
 from lendspark.operators.joins import assert_unique, key_counts, key_join
+from lendspark.sources.lake import write_snapshot
+from lendspark.sources.relational import JdbcSource, optional_source
 from lendspark.sources.schemas import APPLICATION_COLUMNS
 
 # How far back loans and monthly balances count.
@@ -230,5 +233,30 @@ def training_summary(
     return totals.select(F.inline(pairs))
 
 
-def snapshot_time(text: str) -> datetime:
-    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+def read_prior_loans(
+    spark: SparkSession, source: JdbcSource, lower: int, upper: int, partitions: int
+) -> PriorLoans:
+    """The four tables from a database, each in parallel slices of the loan id."""
+    return PriorLoans(
+        **{
+            f.name: source.table(spark, f.name, "reco_id_last", lower, upper, partitions)
+            for f in fields(PriorLoans)
+        }
+    )
+
+
+def write_training_snapshot(
+    applications: DataFrame,
+    credits: DataFrame,
+    load_prior: Callable[[], PriorLoans],
+    folder: str,
+    at: datetime,
+    compression: str = "snappy",
+) -> str:
+    """Build the training set and write it; where it is.
+
+    Prior loans are optional: when their source does not resolve, the set lacks their
+    columns.
+    """
+    prior = optional_source(load_prior, "prior loans")
+    return write_snapshot(training_set(applications, credits, prior), folder, at, compression)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import TypeVar
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -62,12 +65,14 @@ def run_sql(spark: SparkSession, sql: str, args=None, **tables: DataFrame) -> Da
     return spark.sql(sql, args=args, **tables)
 
 
-def optional_source(load: Callable[[], DataFrame], name: str) -> DataFrame | None:
-    """The source, or None with a warning when it does not resolve."""
+def optional_source(load: Callable[[], T], name: str) -> T | None:
+    """What ``load`` returns, or None with a warning when its source does not resolve.
+
+    Loading a relation reads its schema, not its data, so this catches a source that is
+    away or malformed; failures while data is read later are not hidden.
+    """
     try:
-        frame = load()
-        frame.schema  # resolves the relation without reading data
-        return frame
+        return load()
     except (PySparkException, Py4JError, OSError) as problem:
         log.warning("continuing without %s: %s", name, problem)
         return None

@@ -88,6 +88,15 @@ def test_written_split(spark, tmp_path):
     assert facts.columns == ["id", "label", "x"] and facts.input_file == "in.csv"
 
 
+def test_split_of_a_csv_file(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id,target\n" + "".join(f"{i},{i % 2}\n" for i in range(100)))
+    split.split_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), "target", ["id"])
+    facts = split.read_split_metadata(spark, str(tmp_path / "out")).first()
+    assert facts.train_target_distribution == {"0": 45, "1": 45}
+    with pytest.raises(ValueError, match="missing"):
+        split.split_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "no"), "label", ["id"])
+
+
 def test_plain_split(spark):
     parts = split.plain_split(spark.range(101), ["id"], test_size=0.2)
     assert parts.columns == ["id", "part"]

@@ -94,10 +94,13 @@ def test_enrich_works_on_a_stream(spark, world):
 
 def test_watch_reports_until_the_query_ends(spark, world):
     folder, bki, balance, tables = world
-    query = ingest.start_ingest(read_files(spark, folder), bki, balance, tables, trigger={"availableNow": True}, at=at())
+    query = ingest.start_ingest(read_files(spark, folder), bki, balance, tables, trigger={"availableNow": True})
     seen = []
     progress.watch(query, seen.append, every_seconds=0.2)
     assert not query.isActive and len(seen) <= 1
+    # Without a given processing time both tables carry the start of the batch.
+    times = [scan_all(spark, t).select("processing_timestamp").distinct().collect() for t in (tables.applications, tables.bureau_credits)]
+    assert len(times[0]) == 1 and times[0] == times[1]
 
 
 def test_stop(spark, world):

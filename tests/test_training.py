@@ -124,3 +124,37 @@ def test_summary(spark):
     dated = t.withColumn("processing_date_app", F.lit("2025-03-01").cast("date"))
     lines = {r.metric: r.value for r in training.training_summary(dated, F.current_timestamp()).collect()}
     assert lines["Date Range (Processing Date)"] == "2025-03-01 to 2025-03-01"
+
+
+def test_snapshot_with_and_without_prior(spark, tmp_path, prior):
+    from datetime import datetime
+
+    from lendspark.sources.relational import JdbcSource
+
+    some = apps(spark, (100, "1", 0), (101, "2", 0))
+    at = datetime(2025, 10, 28, 9, 30)
+    full = training.write_training_snapshot(some, credits(spark), lambda: prior, str(tmp_path / "a"), at)
+    assert full.endswith("data_20251028_093000.parquet")
+    assert spark.read.parquet(full).count() == 9
+    away = JdbcSource("jdbc:postgresql://db.invalid/x")
+    bare = training.write_training_snapshot(
+        some, credits(spark), lambda: training.read_prior_loans(spark, away, 0, 10, 2),
+        str(tmp_path / "b"), at, "gzip",
+    )
+    assert spark.read.parquet(bare).columns == ["reco_id_curr", "income", "reco_bureau_id", "months_balance"]
+
+
+def test_counts_of_prior_loans(prior):
+    wide = training.prior_loans_wide(prior).where("reco_id_last <> 5")
+    want = {r.reco_id_curr: r["count"] for r in wide.groupBy("reco_id_curr").count().collect()}
+    got = {r.reco_id_curr: r.rows for r in training.prior_loan_counts(prior).collect()}
+    assert got == want
+
+
+def test_hot_loans_and_applications(spark, prior, monkeypatch):
+    from lendspark.operators import joins
+
+    some = apps(spark, (100, "1", 0), (101, "2", 0), (103, "3", 0))
+    plain = Counter(training.training_set(some, credits(spark), prior).collect())
+    monkeypatch.setattr(joins.key_join, "__defaults__", (*joins.key_join.__defaults__[:2], 1, None))
+    assert Counter(training.training_set(some, credits(spark), prior).collect()) == plain
