@@ -1,7 +1,5 @@
 """Bureau queries."""
 
-from pyspark.sql import functions as F
-
 from lendspark.catalog import roles
 from lendspark.catalog.registry import plain_numbers, query
 from lendspark.operators import bureau

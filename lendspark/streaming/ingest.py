@@ -82,11 +82,9 @@ def preview(df: DataFrame, columns: list[str], rows: int = PREVIEW_ROWS) -> Data
     return df.select(*(c for c in columns if c in df.columns)).limit(rows)
 
 
-def _write_counted(df: DataFrame, path: str) -> int:
-    """Replace one batch folder; the rows it then holds, which Parquet footers tell."""
-    # A batch has one processing date.
+def _write(df: DataFrame, path: str) -> None:
+    """Replace one batch folder. A batch has one processing date."""
     write_partitioned(df, path, mode="overwrite", rebalance=False)
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def land_batch(
@@ -104,13 +102,18 @@ def land_batch(
     """
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if batch.isEmpty():
+        n_events = batch.count()
+        if n_events == 0:
             return None
         bki, balance = of_batch(batch, bki, balance)
         credits = land_credits(bureau_credits(batch, bki, balance), at)
-        n_credits = _write_counted(credits, f"{tables.bureau_credits}/{folder}")
+        credits_folder = f"{tables.bureau_credits}/{folder}"
+        _write(credits, credits_folder)
+        # Parquet footers tell how many rows there are; a batch may have none.
+        n_credits = batch.sparkSession.read.schema(credits.schema).parquet(credits_folder).count()
         applications = land_applications(enrich(batch, bki, balance, F.unix_millis(at)), at)
-        return _write_counted(applications, f"{tables.applications}/{folder}"), n_credits
+        _write(applications, f"{tables.applications}/{folder}")
+        return n_events, n_credits
     finally:
         batch.unpersist()
 
