@@ -1,4 +1,4 @@
-"""Jobs to submit: ``spark-submit ... -m lendspark <job>`` or ``python -m lendspark <job>``.
+"""Jobs: ``python -m lendspark <job>``, or this file as the application of spark-submit.
 
 Storage and database credentials come from the Spark configuration of the deployment.
 """

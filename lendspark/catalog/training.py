@@ -134,19 +134,19 @@ def source_coverage(spark, sf):
     roles.sql(
         f"""
         , t AS ({_TRAINING})
-        SELECT 'Total Rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM t
+        SELECT 'Total Rows' AS metric, format('{{:,}}', count(*)) AS value FROM t
         UNION ALL
         SELECT 'Total Columns', CAST(31 AS VARCHAR)
         UNION ALL
-        SELECT 'Total Applications', CAST(count(DISTINCT reco_id_curr) AS VARCHAR) FROM t
+        SELECT 'Total Applications', format('{{:,}}', count(DISTINCT reco_id_curr)) FROM t
         UNION ALL
-        SELECT 'Applications with Bureau Data', CAST(count(DISTINCT reco_id_curr) AS VARCHAR)
+        SELECT 'Applications with Bureau Data', format('{{:,}}', count(DISTINCT reco_id_curr))
         FROM t WHERE reco_bureau_id IS NOT NULL
         UNION ALL
-        SELECT 'Applications without Bureau Data', CAST(count(DISTINCT reco_id_curr) AS VARCHAR)
+        SELECT 'Applications without Bureau Data', format('{{:,}}', count(DISTINCT reco_id_curr))
         FROM t WHERE reco_bureau_id IS NULL
         UNION ALL
-        SELECT 'Total Bureau Credits', CAST(count(reco_bureau_id) AS VARCHAR) FROM t
+        SELECT 'Total Bureau Credits', format('{{:,}}', count(reco_bureau_id)) FROM t
         UNION ALL
         SELECT 'Date Range (Processing Date)', 'N/A'
         UNION ALL

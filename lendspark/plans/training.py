@@ -147,12 +147,13 @@ def applications_with_credits(
     """
     if validate:
         applications = assert_unique(applications, "reco_id_curr")
+        # Each application multiplies by its credits, and later by its loans: spread them
+        # in the partitioning of those joins before, rather than as few files as they come
+        # in. Their keys are unique, so the partitions are even.
+        width = int(applications.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        applications = applications.repartition(width, "reco_id_curr")
     shared = (set(applications.columns) & set(credits.columns)) - {"reco_id_curr"}
     credits = credits.withColumnsRenamed({c: f"{c}_bureau" for c in shared})
-    # Each application multiplies by its credits, and later by its loans: spread them in
-    # the partitioning of those joins before, rather than as few files as they come in.
-    width = int(applications.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    applications = applications.repartition(width, "reco_id_curr")
     return key_join(applications, credits, "reco_id_curr", "left")
 
 
@@ -213,14 +214,18 @@ def training_summary(
         F.max("last_day").alias("last_day"),
     )
     dates = F.concat_ws(" to ", F.col("first_day").cast("string"), F.col("last_day").cast("string"))
-    # Report lines.
+
+    def grouped(name: str) -> Column:
+        return F.format_number(F.col(name), 0)
+
+    # Report lines; counts show thousands separators.
     lines = {
-        "Total Rows": F.col("rows"),
+        "Total Rows": grouped("rows"),
         "Total Columns": F.lit(len(training.columns)),
-        "Total Applications": F.col("applications"),
-        "Applications with Bureau Data": F.col("with_credits"),
-        "Applications without Bureau Data": F.col("without_credits"),
-        "Total Bureau Credits": F.col("credits"),
+        "Total Applications": grouped("applications"),
+        "Applications with Bureau Data": grouped("with_credits"),
+        "Applications without Bureau Data": grouped("without_credits"),
+        "Total Bureau Credits": grouped("credits"),
         "Date Range (Processing Date)": dates if has_date else F.lit("N/A"),
         "Export Timestamp": F.date_format(exported_at, "yyyy-MM-dd HH:mm:ss"),
     }
