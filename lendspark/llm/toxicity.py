@@ -404,6 +404,17 @@ def score(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", te
     return chosen.mapInArrow(run, f"doc_id {kind}, score double, predicted int, n_windows long")
 
 
+def without_toxic(docs: DataFrame, classifier: Classifier, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, that score below 0.5."""
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_column, 2 << 20):
+            yield batch.filter(pa.array(shared.value.scores(batch.column(text_column))[0] < 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def trained(docs: DataFrame, labels: DataFrame, shape: Shape = Shape(), training: Training = Training()) -> Classifier:
     return fit(*labelled_sample(docs, labels, training), shape, training)
 
