@@ -3,9 +3,10 @@
 Texts with the same words are one class and are joined once. Every run samples a few of
 a class's shingles, at a rate of 1 / (threshold * size), and follows each as a path: the
 classes of a path share all its shingles. Paths with few classes are compared at once;
-others sample again and split further. A path that is still large after the last level
-is compared in blocks of classes, so none is dropped. Pairs pass a size and a one-byte
-min-hash filter, then the exact shingle sets of both texts are compared.
+others sample again and split further. Pairs of a small path pass a size and a one-byte
+min-hash filter; the texts of a path that is large to the end all pass. What passes is
+kept as connecting edges, and inside each of their components all texts are compared
+exactly, in blocks: so no pair is dropped, and none but connecting ones is written.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ class Join:
     levels: int = 4
     small: int = 32
     recall: float = 0.995
+    block_chars: int = 1 << 20
+    block_texts: int = 256
 
     @property
     def runs(self) -> int:
@@ -117,45 +119,38 @@ def sketches(docs: DataFrame, settings: Join, id_column: str, text_column: str)
     return chosen.mapInArrow(run, f"doc_id {kind}, node binary, size int, sketch binary, {lists}")
 
 
-def paths(nodes: DataFrame, settings: Join) -> DataFrame:
-    """(path, block, other, node): the classes to compare with each other, level by level.
-
-    ``block`` and ``other`` are 0 for a small path. A large one after the last level is
-    dealt into blocks, and each pair of blocks is one group of at most two blocks.
-    """
-    found = None
+def paths(nodes: DataFrame, settings: Join) -> tuple[DataFrame, DataFrame]:
+    """(path, node) of the small paths, and of those still large after the last level."""
+    small, large = None, None
     open_paths = nodes.where("size > 0").select("node", F.explode("picks0").alias("pick"))
     open_paths = open_paths.select("node", F.shiftright("pick", 48).alias("run"), F.xxhash64("pick").alias("path"))
     for level in range(settings.levels):
-        last = level + 1 == settings.levels
+        if level:
+            picks = nodes.select("node", F.explode(f"picks{level}").alias("pick"))
+            picks = picks.select("node", F.shiftright("pick", 48).alias("run"), "pick")
+            open_paths = large.select("node", "run", "path").join(picks, ["node", "run"]).select(
+                "node", "run", F.xxhash64("path", "pick").alias("path")
+            )
         sizes = open_paths.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         counted = open_paths.join(sizes, "path")
-        small = counted.where(F.col("n") <= settings.small).select("path", F.lit(0).alias("block"), F.lit(0).alias("other"), "node")
-        found = small if found is None else found.unionByName(small)
+        now = counted.where(F.col("n") <= settings.small).select("path", "node")
+        small = now if small is None else small.unionByName(now)
         large = written(counted.where(F.col("n") > settings.small), "paths")
         if large.isEmpty():
             break
-        if last:
-            blocks = F.ceil(F.col("n") / settings.small).cast("int")
-            own = large.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-            pairs = own.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            found = found.unionByName(
-                pairs.select("path", F.least("own", "partner").alias("block"), F.greatest("own", "partner").alias("other"), "node")
-            )
-        else:
-            picks = nodes.select("node", F.explode(f"picks{level + 1}").alias("pick"))
-            picks = picks.select("node", F.shiftright("pick", 48).alias("run"), "pick")
-            open_paths = large.select("node", "run", "path").join(picks, ["node", "run"]).select(
-                "node", "run", F.xxhash64("path", "pick").alias("path")
-            )
-    return found
+    return small, large.select("path", "node")
 
 
-def candidates(groups: DataFrame, nodes: DataFrame, settings: Join) -> DataFrame:
-    """Pairs of classes of one group that pass the size and min-hash filters; each once."""
+def candidates(nodes: DataFrame, settings: Join) -> DataFrame:
+    """Edges (a, b) that connect every two texts which share a path and pass the filters.
+
+    A small path gives a spanning forest of its pairs that pass, a large one ties all its
+    texts to its least one: no path gives more edges than it has texts.
+    """
     t = settings.threshold
     # Four standard deviations below the threshold; sets too small for the sketch pass.
     least = t - 4 * math.sqrt(t * (1 - t) / BINS)
+    small, large = paths(nodes, settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,63 +160,142 @@ def candidates(groups: DataFrame, nodes: DataFrame, settings: Join) -> DataFrame
                 own = ids[k].as_py()
                 n = np.array(sizes[k].as_py())
                 m = np.frombuffer(b"".join(marks[k].as_py()), np.uint8).reshape(len(own), BINS)
-                order = np.argsort(n, kind="stable")
-                n, m = n[order], m[order]
-                for i in range(len(own) - 1):
-                    ok = n[i] >= t * n[i + 1 :]
-                    filled = (m[i] > 0) | (m[i + 1 :] > 0)
-                    equal = ((m[i] == m[i + 1 :]) & filled).sum(axis=1)
-                    ok &= (n[i] < 2 * BINS) | (equal >= least * filled.sum(axis=1))
-                    for j in np.flatnonzero(ok) + i + 1:
-                        a, b = own[order[i]], own[order[j]]
-                        left.append(min(a, b))
-                        right.append(max(a, b))
+                low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+                filled = (m[:, None, :] > 0) | (m[None, :, :] > 0)
+                equal = ((m[:, None, :] == m[None, :, :]) & filled).sum(axis=2)
+                ok = (low >= t * high) & ((low < 2 * BINS) | (equal >= least * filled.sum(axis=2)))
+                for i, j in forest(ok):
+                    left.append(own[i])
+                    right.append(own[j])
             yield pa.record_batch([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
 
-    # A group has at most two blocks, and a block about ``small`` classes.
-    members = groups.join(nodes.select("node", "size", "sketch"), "node").groupBy("path", "block", "other").agg(
+    # A small path has at most ``small`` texts.
+    members = small.join(nodes.select("node", "size", "sketch"), "node").groupBy("path").agg(
         F.collect_list(F.struct("node", "size", "sketch")).alias("x")
     )
     members = members.select(F.col("x.node").alias("ids"), F.col("x.size").alias("sizes"), F.col("x.sketch").alias("sketches"))
-    return members.where(F.size("ids") > 1).mapInArrow(run, "a binary, b binary").distinct()
-
-
-def verified(pairs: DataFrame, texts: DataFrame, settings: Join) -> DataFrame:
-    """Pairs whose exact shingle sets reach the threshold, with their similarity."""
-    k = settings.shingle
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=256)
-        def shingles(text: str) -> frozenset:
-            words = text.split(" ")
-            return frozenset(zip(*(words[i:] for i in range(k)), strict=False)) if len(words) >= k else frozenset([tuple(words)])
-
-        for batch in slices(batches, "words_a"):
-            scores = []
-            for x, y in zip(batch.column("words_a").to_pylist(), batch.column("words_b").to_pylist(), strict=True):
-                a, b = shingles(x), shingles(y)
-                both = len(a & b)
-                scores.append(both / (len(a) + len(b) - both))
-            scores = np.array(scores)
-            keep = pa.array(scores >= settings.threshold)
-            yield pa.record_batch(
-                [batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(scores[scores >= settings.threshold])],
-                ["a", "b", "similarity"],
-            )
-
-    one = texts.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
-    joined = pairs.join(one, "a").join(two, "b")
-    return joined.select("a", "b", "words_a", "words_b").mapInArrow(run, "a binary, b binary, similarity double")
+    heads = large.groupBy("path").agg(F.min("node").alias("a"))
+    tied = large.join(heads, "path").select("a", F.col("node").alias("b")).where("a <> b")
+    edges = members.mapInArrow(run, "a binary, b binary").unionByName(tied)
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric relation."""
+    free, edges = np.ones(len(linked), bool), []
+    for root in range(len(linked)):
+        if not free[root]:
+            continue
+        free[root] = False
+        stack = [root]
+        while stack:
+            i = stack.pop()
+            for j in np.flatnonzero(linked[i] & free).tolist():
+                free[j] = False
+                edges.append((i, j))
+                stack.append(j)
+    return edges
+
+
+def similarities(words: pa.Array, k: int) -> np.ndarray:
+    """Jaccard similarity of the texts' shingle sets, each with each."""
+    found, rows = words_of(words)
+    codes, distinct = coded(found)
+    hashes = string_hashes(distinct)[codes]
+    n = len(words)
+    counts = np.bincount(rows, minlength=n)
+    grams, at = ngram_hashes(hashes, rows, k)
+    owner = rows[at]
+    for i in np.flatnonzero(counts < k):
+        whole = np.bitwise_xor.reduce(mixed(hashes[rows == i] + np.arange(1, counts[i] + 1).astype(np.uint64)))
+        grams, owner = np.append(grams, whole), np.append(owner, i)
+    names, gram = np.unique(grams, return_inverse=True)
+    pairs = np.unique(owner.astype(np.int64) * len(names) + gram)
+    owner, gram = pairs // len(names), pairs % len(names)
+    sizes = np.bincount(owner, minlength=n).astype(np.float64)
+    both = np.zeros((n, n))
+    order = np.argsort(gram, kind="stable")
+    owner, gram = owner[order], gram[order]
+    # Shingles of one text alone are in no intersection.
+    shared = np.bincount(gram, minlength=len(names)) > 1
+    keep = shared[gram]
+    owner, gram = owner[keep], (np.cumsum(shared) - 1)[gram[keep]]
+    step = max(1, (8 << 20) // max(1, n))
+    for low in range(0, int(shared.sum()), step):
+        a, b = np.searchsorted(gram, [low, low + step])
+        dense = np.zeros((n, min(step, int(shared.sum()) - low)), np.float32)
+        dense[owner[a:b], gram[a:b] - low] = 1
+        both += dense @ dense.T
+    return both / (sizes[:, None] + sizes[None, :] - both)
+
+
+def verified(texts: DataFrame, settings: Join) -> DataFrame:
+    """Exact links of the texts (node, words, copies, component) within each component.
+
+    Components are compared in blocks of bounded text: each pair of blocks is one group,
+    and small components share a group. A group returns its texts' numbers of linked
+    rows, and edges that connect what is linked, never all pairs. Rows: node, linked,
+    and an edge's other end ``b`` with its similarity, or null.
+    """
+    t, k = settings.threshold, settings.shingle
+    sized = texts.withColumn("chars", F.length("words"))
+    totals = sized.groupBy("component").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
+    blocks = F.ceil(F.greatest(F.col("chars") / settings.block_chars, F.col("n") / settings.block_texts)).cast("int")
+    totals = written(totals.where("n > 1").select("component", F.greatest(blocks, F.lit(1)).alias("blocks"), "chars"), "totals")
+    many = totals.where("blocks = 1").agg(F.sum("chars")).first()[0] or 0
+    groups = max(1, math.ceil(many / settings.block_chars))
+    dealt = sized.join(totals.select("component", "blocks"), "component")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "partner"), F.greatest("own", "partner")
+    one = F.col("blocks") == 1
+    unit = F.when(one, F.pmod(F.xxhash64("component"), F.lit(groups))).otherwise(F.xxhash64("component", low, high))
+    dealt = dealt.select(one.alias("one"), unit.alias("unit"), "component", low.alias("low"), high.alias("high"), "own", "node", "copies", "words")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("component", "ascending"), ("low", "ascending"), ("high", "ascending")]).combine_chunks()
+        keys = list(zip(*(group.column(c).to_pylist() for c in ("component", "low", "high")), strict=True))
+        node, linked, other, score = [], [], [], []
+        start = 0
+        while start < len(keys):
+            stop = start
+            while stop < len(keys) and keys[stop] == keys[start]:
+                stop += 1
+            part = group.slice(start, stop - start)
+            _, lo, hi = keys[start]
+            start = stop
+            ids, own = part.column("node").to_pylist(), part.column("own").to_numpy()
+            words = part.column("words").combine_chunks()
+            near = similarities(words.chunk(0) if isinstance(words, pa.ChunkedArray) else words, k)
+            ok = near >= t
+            np.fill_diagonal(ok, False)
+            if lo != hi:
+                ok &= own[:, None] != own[None, :]
+            total = ok @ part.column("copies").to_numpy()
+            edges = dict((j, i) for i, j in forest(ok))
+            for i in np.flatnonzero(total).tolist():
+                node.append(ids[i])
+                linked.append(int(total[i]))
+                at = edges.get(i)
+                other.append(None if at is None else ids[at])
+                score.append(None if at is None else float(near[i, at]))
+        return pa.table(
+            [pa.array(node, pa.binary()), pa.array(linked, pa.int64()), pa.array(other, pa.binary()), pa.array(score, pa.float64())],
+            ["node", "linked", "b", "similarity"],
+        )
+
+    return dealt.groupBy("one", "unit").applyInArrow(run, "node binary, linked long, b binary, similarity double")
 
 
 @dataclass(frozen=True)
 class Joined:
-    """``members``: doc_id, node per row; ``classes``: node, copies, first_id; ``links``: a, b, similarity."""
+    """``members``: doc_id, node, size per row; ``classes``: node, copies, first_id;
+    ``links``: a, b, similarity that connect all linked texts; ``counts``: node, linked rows."""
 
     members: DataFrame
     classes: DataFrame
     links: DataFrame
+    counts: DataFrame
 
 
 def jaccard_join(
@@ -239,12 +313,15 @@ def jaccard_join(
     nodes = rows.groupBy("node").agg(F.first(F.struct(*kept)).alias("x")).select("node", "x.*")
     nodes = written(nodes, "nodes")
     classes = members.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"))
-    pairs = written(candidates(paths(nodes, settings), nodes, settings), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # Any two texts that could be linked are in one component of the candidates.
+    near = components(candidates(nodes, settings), "a", "b")
+    near = written(near.join(classes.select("node", "copies"), "node"), "candidates")
     words = normal(F.col(text_column))
-    texts = docs.select(node_of(words).alias("node"), words.alias("words")).join(wanted, "node", "left_semi")
-    texts = written(texts.groupBy("node").agg(F.first("words").alias("words")), "texts")
-    return Joined(members, classes, written(verified(pairs, texts, settings), "links"))
+    texts = docs.select(node_of(words).alias("node"), words.alias("words")).join(near.select("node"), "node", "left_semi")
+    texts = written(texts.groupBy("node").agg(F.first("words").alias("words")).join(near, "node"), "texts")
+    found = written(verified(texts, settings), "links")
+    links = found.where("b is not null").select(F.col("node").alias("a"), "b", "similarity")
+    return Joined(members, classes, links, found.groupBy("node").agg(F.sum("linked").alias("linked")))
 
 
 def resolved(joined: Joined) -> DataFrame:
@@ -260,16 +337,10 @@ def classified(joined: Joined) -> DataFrame:
     Copies count as links of each other; a text without words is a class of its own and
     has none.
     """
-    links = joined.links
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("partner")).unionByName(
-        links.select(F.col("b").alias("node"), F.col("a").alias("partner"))
-    )
-    copies = joined.classes.select(F.col("node").alias("partner"), F.col("copies"))
-    linked = both.join(copies, "partner").groupBy("node").agg(F.sum("copies").alias("linked"))
     facts = resolved(joined)
     heads = facts.groupBy("component").agg(F.min("first_id").alias("class_id"))
     n_links = F.col("copies") - 1 + F.coalesce("linked", F.lit(0))
-    facts = facts.join(heads, "component").join(linked, "node", "left").select("node", "class_id", n_links.alias("n_links"))
+    facts = facts.join(heads, "component").join(joined.counts, "node", "left").select("node", "class_id", n_links.alias("n_links"))
     rows = joined.members
     out = rows.where("size > 0").join(facts, "node").select("doc_id", "class_id", "n_links")
     alone = rows.where("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
