@@ -1,10 +1,12 @@
 """Language-model scores from a subword lattice: all segmentations of a word are summed.
 
 The pieces are those of a published vocabulary and start at its own scores. Words are
-counted over all training texts; expected piece counts over the lattices of all counted
-words then give the weights. A word's log probability is the forward recursion's value,
-in log space, over every way to cut it into pieces, and a text's is the sum over its
-words and its end. Words are scored once each; the commonest go out with the texts'
+counted over all training texts; expected piece counts over the lattices of all distinct
+training words then give the weights. The forward recursion, in log space, sums every way
+to cut a word into pieces. A training word also passes uncut, as one edge of its own with
+its discounted count; the discounts' mass goes to the cut ways, so all words and the end
+of a text together have probability one. A text's score is the sum over its words and
+its end. Words are scored once each; the commonest go out with the texts'
 tasks, a bounded table, and all others meet their texts in a join on the word.
 """
 
@@ -35,6 +37,7 @@ class Lattice:
     head: int = 100_000
     rounds: int = 2
     smoothing: float = 0.1
+    discount: float = 0.75
     count_bytes: int = 32 << 20
 
 
@@ -158,6 +161,15 @@ class Pieces:
         return total
 
 
+def with_whole(cut: np.ndarray, c: np.ndarray, n: int, v: int, discount: float) -> np.ndarray:
+    """log10 of a word's probability: uncut by its count among n tokens of v kinds, or cut."""
+    if n == 0:
+        return cut
+    with np.errstate(divide="ignore"):
+        whole = np.log(np.maximum(c - discount, 0) / n)
+    return np.logaddexp(whole, np.log(discount * v / n) + cut * np.log(10)) / np.log(10)
+
+
 def counted(docs: DataFrame, settings: Lattice) -> DataFrame:
     """(word, c): every distinct word of all texts, and its count in the training texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +184,11 @@ def counted(docs: DataFrame, settings: Lattice) -> DataFrame:
     return written(partial.groupBy("word").agg(F.sum("c").alias("c")), "words")
 
 
-def reestimated(words: DataFrame, pieces: Pieces, ends: int, settings: Lattice) -> None:
-    """Set the pieces' weights from their expected counts over all training words."""
+def reestimated(words: DataFrame, pieces: Pieces, settings: Lattice) -> None:
+    """Set the pieces' weights from their expected counts over all distinct training words.
+
+    The cut ways serve words by their rarity, so each distinct word counts once.
+    """
     spark = words.sparkSession
     known = words.where("c > 0")
     for _ in range(settings.rounds):
@@ -182,7 +197,7 @@ def reestimated(words: DataFrame, pieces: Pieces, ends: int, settings: Lattice)
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             total = np.zeros(shared.value.size)
             for batch in batches:
-                total += shared.value.expected(batch.column("word").to_pylist(), batch.column("c").to_numpy())
+                total += shared.value.expected(batch.column("word").to_pylist(), np.ones(batch.num_rows))
             used = np.flatnonzero(total)
             yield pa.record_batch([pa.array(used), pa.array(total[used])], ["piece", "n"])
 
@@ -192,7 +207,7 @@ def reestimated(words: DataFrame, pieces: Pieces, ends: int, settings: Lattice)
             weights[piece] = n
         usable = np.zeros(pieces.size, bool)
         usable[pieces.ids] = usable[pieces.bytes] = True
-        pieces.set(np.where(usable, weights + settings.smoothing, 0.0), ends + settings.smoothing)
+        pieces.set(np.where(usable, weights + settings.smoothing, 0.0), 1.0)
 
 
 def scored(docs: DataFrame, settings: Lattice = Lattice(), tokenizer: str | None = None, id_column: str = "doc_id", text_column: str = "text", held_out=None) -> DataFrame:
@@ -212,12 +227,13 @@ def scored(docs: DataFrame, settings: Lattice = Lattice(), tokenizer: str | None
     ends = texts.where("not held_out").count()
     n, v = (total or 0) + ends, distinct + (ends > 0)
     pieces = Pieces(tokenizer or public_tokenizers.path(settings.vocabulary))
-    reestimated(words, pieces, ends, settings)
+    reestimated(words, pieces, settings)
     shared = spark.sparkContext.broadcast(pieces)
 
     def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            log = shared.value.log10(batch.column("word").to_pylist())
+            cut = shared.value.log10(batch.column("word").to_pylist())
+            log = with_whole(cut, batch.column("c").to_numpy(), n, v, settings.discount)
             yield pa.record_batch([batch.column("word"), batch.column("c"), pa.array(log)], ["word", "c", "log"])
 
     lexicon = words.mapInArrow(score_words, "word string, c long, log double")
@@ -225,10 +241,11 @@ def scored(docs: DataFrame, settings: Lattice = Lattice(), tokenizer: str | None
     head_words = [r["word"] for r in common]
     head_c = np.array([r["c"] for r in common], np.int64)
     head = spark.sparkContext.broadcast(
-        (dict(zip(head_words, range(len(head_words)), strict=True)), head_c, pieces.log10(head_words))
+        (dict(zip(head_words, range(len(head_words)), strict=True)), head_c, with_whole(pieces.log10(head_words), head_c, n, v, settings.discount))
     )
     base_of = lambda c: np.log10((c + 1) / (n + v + 1))
-    end = (float(base_of(ends)), pieces.end / float(np.log(10)), int(ends > 0))
+    end_log = with_whole(np.array([pieces.end / np.log(10)]), np.array([ends]), n, v, settings.discount)
+    end = (float(base_of(ends)), float(end_log[0]), int(ends > 0))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
