@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lendspark.session import scratch_path
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 """Text handled at once inside a task; longer batches are cut into slices of rows."""
 
 

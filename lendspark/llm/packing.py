@@ -23,6 +23,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 WINDOW = 2048
 ENCODE_AT_ONCE = 20_000
+OTHERS_AT_ONCE = 2_000
+ENCODE_BYTES = 2 << 20
 MARKS = (".", ",")
 
 TOKENS = "doc_id {id}, part int, local long, n_tokens long, ids binary"
@@ -74,7 +76,10 @@ class WordEncoder:
         return ids, np.diff(ends, prepend=0)
 
     def _other(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.model.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        found = []
+        for at in range(0, len(words), OTHERS_AT_ONCE):
+            some = words[at : at + OTHERS_AT_ONCE].to_pylist()
+            found.extend(e.ids for e in self.model.encode_batch_fast(some, add_special_tokens=False))
         lengths = np.array([len(x) for x in found], np.int64)
         return np.array([i for x in found for i in x], np.int64), lengths
 
@@ -125,7 +130,7 @@ def tokenize(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer, end_id)
         part, local = TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODE_BYTES):
             flat, counts = encoder(batch.column("text"))
             ends = np.cumsum(counts)
             data = pa.py_buffer(flat)
@@ -159,9 +164,7 @@ def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     offsets = spark.sparkContext.broadcast(bases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in slices(batches, "ids"):
             n = batch.column("n_tokens").to_numpy()
             parts = batch.column("part").to_numpy()
             begin = batch.column("local").to_numpy() + np.array([offsets.value[p] for p in parts.tolist()], np.int64)

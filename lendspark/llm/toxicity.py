@@ -44,8 +44,8 @@ class Shape:
 class Training:
     """Bounds and settings of the fit. The sample is the only bounded part."""
 
-    texts_per_class: int = 1000
-    text_chars: int = 6_000
+    texts_per_class: int = 800
+    text_chars: int = 4_000
     epochs: int = 4
     batch: int = 128
     rate: float = 0.02
