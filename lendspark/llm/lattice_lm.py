@@ -184,6 +184,21 @@ def counted(docs: DataFrame, settings: Lattice) -> DataFrame:
     return written(partial.groupBy("word").agg(F.sum("c").alias("c")), "words")
 
 
+def commonest(words: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` words: those above the least count bin that keeps to the bound.
+
+    Bins are a sixteenth of a doubling wide, so their table is small for any corpus.
+    """
+    bin_of = F.floor(F.log2("c") * 16)
+    chosen, total = None, 0
+    for row in words.where("c > 1").groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("bin")).collect():
+        total += row["n"]
+        if total > most:
+            break
+        chosen = row["bin"]
+    return words.where(F.lit(False) if chosen is None else (F.col("c") > 1) & (bin_of >= chosen))
+
+
 def reestimated(words: DataFrame, pieces: Pieces, settings: Lattice) -> None:
     """Set the pieces' weights from their expected counts over all distinct training words.
 
@@ -237,7 +252,7 @@ def scored(docs: DataFrame, settings: Lattice = Lattice(), tokenizer: str | None
             yield pa.record_batch([batch.column("word"), batch.column("c"), pa.array(log)], ["word", "c", "log"])
 
     lexicon = words.mapInArrow(score_words, "word string, c long, log double")
-    common = words.where("c > 1").orderBy(F.desc("c"), "word").limit(settings.head).collect()
+    common = commonest(words, settings.head).collect()
     head_words = [r["word"] for r in common]
     head_c = np.array([r["c"] for r in common], np.int64)
     head = spark.sparkContext.broadcast(
