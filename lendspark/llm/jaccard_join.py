@@ -34,7 +34,7 @@ class Join:
     shingle: int = 5
     levels: int = 4
     small: int = 32
-    recall: float = 0.995
+    recall: float = 0.999
     block_chars: int = 1 << 20
     block_texts: int = 256
 

@@ -1,0 +1,285 @@
+"""Every operator on hard cases, and against brute force on the smallest table."""
+
+import collections
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from lendspark.llm import decontaminate, jaccard_join, lattice_lm, licenses, line_dedup, packing, pii, quality, sharding, toxicity
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+PASSAGE = "One two three four five six seven eight nine ten eleven twelve thirteen fourteen. " * 1 + (
+    "Rivers bend slowly past the old stone mill where children once learned to swim in summer."
+)
+LONG = " ".join(f"w{i % 977}" for i in range(30_000))
+ROWS = [
+    (1, None, None, None, None),
+    (2, "", "en", "a", 0),
+    (3, " \n\t ", "en", "a", 3),
+    (None, "Lone words here.", None, "b", 16),
+    (4, PASSAGE + " Mail ann.bee@mail.example.com or 10.20.30.40 now.", "en", "a", 1),
+    (4, PASSAGE + " Mail ann.bee@mail.example.com or 10.20.30.40 now.", "en", "a", 1),
+    (5, PASSAGE + " Mail ann.bee@mail.example.com or 10.20.30.41 now.", "en", "a", 1),
+    (6, LONG, "en", "a", len(LONG)),
+    (7, "Released under the MIT License. Herr Kurt Weber and Frau Eva Maier paid 4111111111111111.", "de", "a", 9),
+    (8, "HERR KURT", "de", "a", 9),
+]
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    # Extra columns whose names the operators use inside.
+    return spark.createDataFrame(ROWS, SCHEMA).withColumn("node", F.lit("x")).withColumn("pii_digest", F.lit(1)).withColumn("size", F.lit(2))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.createDataFrame(
+        [(1, PASSAGE), (2, None), (3, ""), (4, "two words")], "item_id long, text string"
+    )
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def classify(df):
+    return jaccard_join.classified(jaccard_join.jaccard_join(df))
+
+
+OPERATORS = {
+    "licenses": licenses.scan,
+    "passages": line_dedup.repeats,
+    "packing": packing.pack,
+    "classes": classify,
+    "one_per_class": jaccard_join.one_per_class,
+    "quality": quality.judged,
+    "pii": pii.anonymise,
+    "shards": sharding.sharded,
+    "lattice": lattice_lm.scored,
+    "toxicity": lambda df: toxicity.score(df, toxicity.fit(["good day", "bad idiot"] * 20, [0, 1] * 20)),
+}
+ONE_ROW_EACH = ("classes", "quality", "pii", "shards", "lattice", "toxicity")
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_and_hard_tables(hard, name):
+    assert OPERATORS[name](hard.limit(0)).collect() == []
+    rows = OPERATORS[name](hard).collect()
+    if name in ONE_ROW_EACH:
+        assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r[0]) for r in ROWS)
+
+
+def test_decontaminate_hard_rows(hard, items, spark):
+    found = decontaminate.decontaminate(hard, items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(4, 1), (4, 1), (5, 1)]
+    assert all(r["score"] == 1.0 for r in found)
+    assert decontaminate.decontaminate(hard, items.limit(0)).count() == 0
+    assert decontaminate.decontaminate(hard.limit(0), items).count() == 0
+    kept = decontaminate.without_leaks(hard, items)
+    assert kept.columns == hard.columns and kept.count() == len(ROWS) - 3
+    edited = PASSAGE.replace("five", "5").replace("stone ", "").replace("once", "once or twice")
+    near = decontaminate.decontaminate(spark.createDataFrame([(9, f"before it {edited} after it")], "doc_id long, text string"), items)
+    assert [r["item_id"] for r in near.collect()] == [1]
+
+
+def test_leaks_against_whole_passages(spark, docs, texts):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.decontaminate(docs, bench).collect()}
+    whole = {(d, b["item_id"]) for b in bench.collect() for d, t in texts.items() if " ".join(words(b["text"])) in " ".join(words(t))}
+    assert whole <= found
+
+
+def test_packing_round_trip(docs, texts, hard):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    pieces = packing.pack(docs).collect()
+    for doc, text in texts.items():
+        own = sorted((p for p in pieces if p["doc_id"] == doc), key=lambda p: p["start"])
+        ids = np.concatenate([np.frombuffer(p["ids"], "<u4") for p in own]).tolist()
+        assert ids == model.encode(text, add_special_tokens=False).ids + [1]
+    by_sequence = collections.defaultdict(list)
+    for p in pieces:
+        by_sequence[p["sequence_id"]].append((p["offset"], p["length"]))
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    for s, own in by_sequence.items():
+        ends = 0
+        for offset, length in sorted(own):
+            assert offset == ends
+            ends += length
+        assert ends == 2048 or s == len(by_sequence) - 1
+    assert sorted(p["length"] for p in packing.pack(hard).collect() if p["doc_id"] in (1, 2, 3)) == [1, 1, 1]
+
+
+def shingles(text):
+    w = words((text or "").lower())
+    return frozenset(zip(*(w[i:] for i in range(5)), strict=False)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def test_join_against_all_pairs(docs, texts):
+    sets = {d: shingles(t) for d, t in texts.items()}
+    links = collections.Counter()
+    linked = []
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if both / (len(sets[a]) + len(sets[b]) - both) >= 0.8:
+                    links[a] += 1
+                    links[b] += 1
+                    linked.append((a, b))
+    rows = {r["doc_id"]: r for r in classify(docs).collect()}
+    assert {d: r["n_links"] for d, r in rows.items()} == {d: links[d] for d in texts}
+    assert all(rows[a]["class_id"] == rows[b]["class_id"] for a, b in linked)
+    kept = {r["doc_id"] for r in jaccard_join.one_per_class(docs).collect()}
+    assert kept == {r["class_id"] for r in rows.values()}
+
+
+def test_large_paths_and_blocks_lose_no_link(spark):
+    base = [f"word{i}" for i in range(300)]
+    rows = [(k, " ".join([*base[:k], f"edit{k}", *base[k + 1 :]])) for k in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = jaccard_join.Join(small=8, block_texts=16)
+    found = jaccard_join.classified(jaccard_join.jaccard_join(df, settings)).collect()
+    assert {r["class_id"] for r in found} == {0} and {r["n_links"] for r in found} == {89}
+
+
+def test_repeats_keep_the_first(hard):
+    found = {(r["doc_id"], r["kept_doc_id"], r["begin"]) for r in line_dedup.repeats(hard).collect()}
+    assert found == {(5, 4, 0)}
+    text = ROWS[6][1]
+    span = [(r["begin"], r["end"]) for r in line_dedup.repeats(hard).collect()]
+    assert line_dedup.cut_out(text, span).strip() == "Mail ann.bee@mail.example.com or 10.20.30.41 now."
+
+
+def test_licenses(hard, docs, texts):
+    assert [(r["doc_id"], r["license"], r["first_word"]) for r in licenses.scan(hard).collect()] == [(7, "mit", 0)]
+    found = {r["doc_id"] for r in licenses.scan(docs).collect() if r["license"] == "apache-2.0"}
+    assert {d for d, t in texts.items() if licenses.TEMPLATES["apache-2.0"] in t} <= found
+    assert licenses.Bands().collision() > 0.99
+
+
+def test_quality_counts(docs, texts):
+    for r in quality.judged(docs).collect():
+        text, w = texts[r["doc_id"]], words(texts[r["doc_id"]])
+        grams = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        again = {i + k for i in range(len(w) - 4) if grams[tuple(w[i : i + 5])] > 1 for k in range(5)}
+        lines = [x for x in text.split("\n") if words(x)]
+        want = (len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again))
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (len(w) < 10 or 100 * len(again) > 20 * len(w))
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_pii(hard):
+    rows = {r["doc_id"]: r for r in pii.anonymise(hard).collect()}
+    four, five, seven = rows[4]["text"], rows[5]["text"], rows[7]["text"]
+    for private in ("ann.bee", "10.20.30.4", "Kurt", "Weber", "Eva", "4111111111111111"):
+        assert private not in four + five + seven
+    mail = r"[a-z]{3}\.[a-z]{3}@[a-z]+\.[a-z]+\.com"
+    assert re.search(mail, four)[0] == re.search(mail, five)[0]
+    assert four.split()[-2] != five.split()[-2]
+    assert re.search(r"Herr (\w+) ", seven)[1] in pii.GIVEN["m", "latin"]
+    assert re.search(r"Frau (\w+) ", seven)[1] in pii.GIVEN["f", "latin"]
+    digits = [int(c) for c in re.search(r"\d{16}", seven)[0]][::-1]
+    assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_pii_surrogates_stay_distinct(spark):
+    values = [f"{a}.{b}.{c}.{d}" for a in (1, 2) for b in range(10) for c in range(10) for d in range(10)]
+    found = pii.surrogates(spark.createDataFrame([(v,) for v in values], "value string")).collect()
+    new = {r["replacement"] for r in found}
+    assert len(new) == len(values) == len(found) and not new & set(values)
+
+
+def test_shards(docs, texts):
+    rows = sharding.sharded(docs, sharding.Shards(count=8, fan=16)).collect()
+    load, slots, of_text = collections.Counter(), collections.defaultdict(list), collections.defaultdict(set)
+    for r in rows:
+        data = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(data) + 16, zlib.crc32(data))
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+        of_text[data].add(r["shard"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(s) == 1 for s in of_text.values())
+    largest = max(sum(r["size"] for r in rows if texts[r["doc_id"]].encode() == t) for t in of_text)
+    assert max(load.values()) - min(load.values()) <= largest
+
+
+def test_lattice_sums_all_segmentations():
+    pieces = lattice_lm.Pieces(packing.tokenizer_path(lattice_lm.Lattice().vocabulary))
+    log = dict(zip(pieces.hashes.tolist(), pieces.log[pieces.ids], strict=True))
+
+    def total(rest):
+        if not rest:
+            return 1.0
+        return sum(
+            math.exp(log[h]) * total(rest[n:]) for n in range(1, len(rest) + 1) if (h := pieces._hash(rest[:n])) in log
+        )
+
+    for word in ("a", "the", "stones"):
+        assert math.isclose(10 ** pieces.log10([word])[0], total("▁" + word), rel_tol=1e-9)
+    assert np.isfinite(pieces.log10(["\U0001f9ff", "x" * 5000])).all()
+
+
+def test_lattice_base_scores(docs, texts):
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
+    tokens = {d: [*words(re.sub("[A-Z]", lambda m: m[0].lower(), t)), None] for d, t in texts.items()}
+    c = collections.Counter(w for d, ws in tokens.items() if not held[d] for w in ws)
+    n, v = sum(c.values()), len(c)
+    for settings in (lattice_lm.Lattice(), lattice_lm.Lattice(head=50)):
+        for r in lattice_lm.scored(docs, settings).collect():
+            own = tokens[r["doc_id"]]
+            assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[r["doc_id"]], len(own), sum(c[w] > 0 for w in own), n)
+            assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own), rel_tol=1e-9)
+            assert r["score"] < 0
+
+
+def test_network_gradients():
+    shape = toxicity.Shape(word_buckets=32, char_buckets=32, width=2, hidden=3, window=5, stride=3)
+    net = toxicity.Network(shape, 1)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    r = np.random.default_rng(0)
+    gates = {w: r.standard_normal((5, 4, 9)) for w in "fb"}
+    valid = np.arange(5)[:, None] < np.array([5, 3, 1, 4])[None, :]
+    kept = {}
+    net.forward(gates, valid, kept)
+    g, d_gates = net.backward(kept, valid, np.ones(4))
+    for table, grad in [(net.p["gate_f"], g["gate_f"]), (net.p["cand_b"], g["cand_b"]), (net.p["att"], g["att"]), (gates["b"], d_gates["b"])]:
+        at = (0,) * table.ndim
+        ends = []
+        for step in (1e-3, -1e-3):
+            table[at] += step
+            ends.append(net.forward(gates, valid).sum())
+            table[at] -= step
+        assert abs((ends[0] - ends[1]) / 2e-3 - grad[at]) < 1e-3
+
+
+def test_toxicity_held_out():
+    r = np.random.default_rng(3)
+    vocabulary = [f"{a}{b}" for a in ("ba", "do", "ki", "lu") for b in ("ra", "sen", "tim", "vo", "wex")]
+    make = lambda bad: " ".join([*r.choice(vocabulary, 60), *(["idiot"] if bad else []), *r.choice(vocabulary, 90)])
+    labels = [k % 2 for k in range(400)]
+    model = toxicity.fit([make(y) for y in labels[:300]], labels[:300])
+    found, count = model.scores(pa.array([make(y) for y in labels[300:]]))
+    assert ((found >= 0.5) == np.array(labels[300:])).mean() > 0.95 and (count > 1).all()
+    assert model.scores(pa.array([None, ""]))[0].tolist() == [0.0, 0.0]
+    assert toxicity.fit([], []).scores(pa.array(["a b"]))[0][0] < 0.5
