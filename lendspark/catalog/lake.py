@@ -118,6 +118,25 @@ def csv_roundtrip(spark, sf):
     return text.read_csv(spark, path, frame.schema)
 
 
+def _text_roundtrip(spark, sf, name, columns):
+    frame = roles.table(spark, sf, name).select(*columns)
+    path = scratch_path(spark, "csv")
+    text.write_csv(frame, path)
+    return text.read_csv(spark, path, frame.schema)
+
+
+@query("csv_roundtrip_documents", "SELECT doc_id, text, lang FROM documents")
+def csv_roundtrip_documents(spark, sf):
+    """Texts with line breaks, quotes and outer blanks."""
+    return _text_roundtrip(spark, sf, "documents", ("doc_id", "text", "lang"))
+
+
+@query("csv_roundtrip_pages", "SELECT page_id, html FROM pages")
+def csv_roundtrip_pages(spark, sf):
+    """Markup full of quotes."""
+    return _text_roundtrip(spark, sf, "pages", ("page_id", "html"))
+
+
 @query(
     "union_by_name",
     """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance

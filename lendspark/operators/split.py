@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lendspark.functions.columns import require_columns
 from lendspark.operators.ordering import running_total
 from lendspark.session import ensure_checkpoint_dir
-from lendspark.sources.text import read_csv, read_json, write_csv, write_json
+from lendspark.sources.text import csv_reader, read_csv, read_json, write_csv, write_json
 
 # Names of the written parts and of their description.
 TRAIN, SIMULATION = "train", "simulation"
@@ -241,7 +241,7 @@ def split_report(spark: SparkSession, folder: str) -> DataFrame:
     def line(name: str) -> DataFrame:
         # Column names come from the header alone; values need no types to be counted.
         path = f"{folder.rstrip('/')}/{name}"
-        header = spark.read.option("header", True).csv(path)
+        header = csv_reader(spark).csv(path)
         table = read_csv(spark, path, header.schema)
         files = table.groupBy(F.col("_metadata.file_path")).agg(
             F.count(F.lit(1)).alias("rows"), F.max(F.col("_metadata.file_size")).alias("bytes")

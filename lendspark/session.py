@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def build_session(
     app_name: str = "lendspark", master: str | None = None, conf: dict[str, str] | None = None
@@ -38,18 +35,12 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Where that is unset, a folder in the session's warehouse, which is shared as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="lendspark-")
-    return _local_dirs[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

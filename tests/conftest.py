@@ -4,7 +4,7 @@ from lendspark.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "lendspark-tests",
         master="local[8]",
@@ -13,6 +13,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -133,6 +133,15 @@ def test_shared_dir_follows_the_session(spark):
 
     named = session_of("yarn", {"spark.checkpoint.dir": "/shared/work/"})
     assert session.scratch_path(named, "x").startswith("/shared/work/app-1/x-")
-    with pytest.raises(RuntimeError):
-        session.shared_dir(session_of("yarn", {}))
+    unset = session_of("yarn", {"spark.sql.warehouse.dir": "/shared/warehouse"})
+    assert session.shared_dir(unset) == "/shared/warehouse/_scratch"
     assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
+def test_csv_keeps_quotes_breaks_blanks_and_nulls(spark, tmp_path):
+    from lendspark.sources.text import read_csv, write_csv
+
+    rows = [(1, "  padded "), (2, 'a "q", b'), (3, "x\ny\r\nz"), (4, ""), (5, None), (6, '"'), (7, "a\\"), (8, 'back\\"slash')]
+    frame = spark.createDataFrame(rows, "id long, value string")
+    write_csv(frame, str(tmp_path / "t.csv"))
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "t.csv"), frame.schema).collect())) == [(i, v or None) for i, v in rows]
