@@ -1,6 +1,8 @@
 """Jobs: ``python -m lendspark <job>``, or this file as the application of spark-submit.
 
-Storage and database credentials come from the Spark configuration of the deployment.
+Storage credentials come from the Spark configuration of the deployment, and the database
+user, password and driver from its keys ``spark.lendspark.jdbc.user``, ``.password`` and
+``.driver``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,13 @@ from lendspark.streaming.progress import watch
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     """Change topic to the two lake tables until stopped."""
     query = start_ingest(
-        read_broker(spark, BrokerSource(args.servers, args.topic)),
+        read_broker(
+            spark,
+            BrokerSource(
+                args.servers, args.topic, args.starting_offsets, args.max_offsets,
+                args.fail_on_data_loss == "true",
+            ),
+        ),
         spark.read.parquet(args.bki),
         spark.read.parquet(args.balance),
         LakeTables.under(args.lake),
@@ -46,13 +54,16 @@ def _training(spark: SparkSession, args: argparse.Namespace) -> None:
     credits = bureau_credits(
         applications, spark.read.parquet(args.bki), spark.read.parquet(args.balance)
     )
-    prior = JdbcSource(args.jdbc_url)
+    keys = {name: f"spark.lendspark.jdbc.{name}" for name in ("user", "password", "driver")}
+    configured = {name: spark.conf.get(key, None) for name, key in keys.items()}
+    prior = JdbcSource(args.jdbc_url, {name: v for name, v in configured.items() if v is not None})
     target = write_training_snapshot(
         applications,
         credits,
         lambda: read_prior_loans(spark, prior, 0, args.largest_loan_id, args.slices),
         args.out,
         datetime.now(timezone.utc),
+        require_prior=args.require_prior == "true",
     )
     print(target)
 
@@ -75,13 +86,18 @@ def parser() -> argparse.ArgumentParser:
             flag = "--" + option.replace("_", "-")
             if default is None:
                 sub.add_argument(flag, required=True)
+            elif default in ("true", "false"):
+                sub.add_argument(flag, default=default, choices=("true", "false"))
             else:
                 sub.add_argument(flag, default=default, type=type(default))
 
-    job("ingest", _ingest, servers=None, topic=None, bki=None, balance=None, lake=None, every=TRIGGER)
+    job(
+        "ingest", _ingest, servers=None, topic=None, bki=None, balance=None, lake=None, every=TRIGGER,
+        starting_offsets="latest", max_offsets=50, fail_on_data_loss="true",
+    )
     job(
         "training", _training, lake=None, bki=None, balance=None, jdbc_url=None, out=None,
-        largest_loan_id=1_000_000_000, slices=64,
+        largest_loan_id=1_000_000_000, slices=64, require_prior="false",
     )
     job("split", _split, input=None, out=None, label=None, ids=None, ratio=0.9, seed=42)
     return top

@@ -16,19 +16,23 @@ PROCESSED_AT = "2024-02-01 06:00:00"
 _runs: dict[tuple[str, str], tuple] = {}
 
 
-def run_ingest(spark, sf):
-    """Drain the events table through the ingest; the tables and the finished query."""
-    # A pattern, as the file stream takes a single file only by pattern.
-    path = f"{sf}/events.parquet*"
+def run_ingest(spark, sf, path=None):
+    """Drain the events table through the ingest; the tables and the finished query.
+
+    ``path`` names a copy of the table in several files, of which each batch takes one.
+    """
     schema = roles.table(spark, sf, "events").schema
-    records = roles.broker_records(read_files(spark, path, schema))
+    # A pattern, as the file stream takes a single file only by pattern.
+    source = read_files(spark, path or f"{sf}/events.parquet*", schema, max_files_per_trigger=1 if path else 50)
+    records = roles.broker_records(source)
     tables = ingest.LakeTables.under(scratch_path(spark, "ingest"))
     stream = ingest.start_ingest(
         records, roles.bki(spark, sf), roles.balance(spark, sf), tables,
         trigger={"availableNow": True}, at=F.lit(PROCESSED_AT).cast("timestamp"),
     )
     stream.awaitTermination()
-    _runs[(spark.sparkContext.applicationId, sf)] = (tables, stream)
+    if path is None:
+        _runs[(spark.sparkContext.applicationId, sf)] = (tables, stream)
     return tables, stream
 
 
@@ -98,5 +102,28 @@ def batch_preview(spark, sf):
 
 @query("stream_progress", "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS input_rows FROM events")
 def stream_progress(spark, sf):
-    _, stream = last_run(spark, sf)
-    return progress.progress_rows(spark, stream).select("batch_id", "input_rows")
+    tables, _ = last_run(spark, sf)
+    return progress.progress_rows(spark, tables.progress).select("batch_id", "input_rows")
+
+
+BATCHES = 4
+
+
+@query(
+    "stream_batches",
+    roles.sql(
+        f"""SELECT count(*) AS input_rows,
+                   CAST(sum(CASE WHEN cdc_operation <> 'd' THEN 1 ELSE 0 END) AS BIGINT) AS applications,
+                   CAST(COALESCE(sum(CASE WHEN cdc_operation <> 'd' THEN f.n END), 0) AS BIGINT) AS credits
+        FROM cdc LEFT JOIN found f ON user_id = f.reco_id_curr GROUP BY kafka_offset % {BATCHES}""",
+        "cdc", "found",
+    ),
+)
+def stream_batches(spark, sf):
+    """All events, dealt into several files, one per batch; a progress line for each."""
+    events = roles.table(spark, sf, "events")
+    path = scratch_path(spark, "events")
+    dealt = events.withColumn("file", F.col("event_id") % BATCHES).repartition("file")
+    dealt.write.partitionBy("file").parquet(path)
+    tables, _ = run_ingest(spark, sf, path)
+    return progress.progress_rows(spark, tables.progress).select("input_rows", "applications", "credits")

@@ -59,20 +59,27 @@ def keep_row_events(events: DataFrame) -> DataFrame:
 
 
 def event_key(name: str = "reco_id_curr", data_type: str = "bigint") -> Column:
-    """Key field out of the JSON record key; deletes carry it nowhere else."""
-    return F.get_json_object("kafka_key", f"$.{name}").try_cast(data_type)
+    """Key field of an event: out of the JSON record key, flat or in its ``payload``
+    wrapper, and out of the row image where the record key lacks it. Deletes have no row
+    image, so without a usable record key theirs is null."""
+    from_key = (F.get_json_object("kafka_key", path) for path in (f"$.{name}", f"$.payload.{name}"))
+    return F.coalesce(*(found.try_cast(data_type) for found in from_key), F.col(name).try_cast(data_type))
 
 
 def current_state(events: DataFrame, key: Column | None = None) -> DataFrame:
     """Latest row image of every key, without keys whose last event is a delete.
 
-    Give it parsed events that still hold the deletes. It aggregates instead of ranking,
-    so each map task sends one row per key and a key with very many versions stays cheap.
+    Give it parsed events that still hold the deletes. Events without a key are states of
+    their own, told apart by their position in the topic, so they neither fold into one
+    row nor meet in one task. It aggregates instead of ranking, so each map task sends one
+    row per key and a key with very many versions stays cheap.
     """
     order = F.struct("cdc_timestamp_ms", "kafka_offset", "kafka_partition")
+    position = F.struct("kafka_topic", "kafka_partition", "kafka_offset")
+    state_key = event_key() if key is None else key
     latest = (
         events.where(F.col("cdc_operation").isNotNull())
-        .groupBy((event_key() if key is None else key).alias("state_key"))
+        .groupBy(state_key.alias("state_key"), F.when(state_key.isNull(), position).alias("unkeyed"))
         .agg(F.max_by(F.struct(*events.columns), order).alias("row"))
     )
     return keep_row_events(latest.select("row.*"))

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more rows than this, and more than 1/MAX_HOT_KEYS of its
-# side. By the second rule there are at most MAX_HOT_KEYS hot keys, which bounds the
-# broadcast of their names to a few megabytes.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 50_000
-# Copies of one row that stay together when the copies of a hot row are spread.
-COPIES_TOGETHER = 1_000
+# Pairs of rows that one key may join in one task; a key with more is spread over several.
+PAIRS_TOGETHER = 10_000_000
+# Keys spread at most, those with the most pairs; bounds what is collected and broadcast.
+# Further keys join in one task each, with the same rows.
+MAX_HOT_KEYS = 10_000
 # Distinct keys that may travel into the scan of another table as literals.
 PUSHED_KEYS = 1_000
 
@@ -50,69 +48,70 @@ def narrowed(
 
 
 def hot_keys(
-    counts: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT_KEYS
+    left_counts: DataFrame, right_counts: DataFrame, key: str, null_safe: bool = False,
+    pairs_together: int = PAIRS_TOGETHER, max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame | None:
-    """Hot keys with the number of salts each needs, or None when there are none.
+    """Keys whose pairs do not fit one task, with the salts of both sides; None without any.
 
-    Runs over ``key_counts`` once to decide; the decision keeps the usual case a plain join.
+    One job over two ``key_counts``. A key whose rows meet nobody counts with its own rows.
+    Null is a key per side unless nulls match each other. The salts of a side follow the
+    square root of its share of the rows, which repeats the fewest rows on the other side.
     """
-    size = counts.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
-    bound = max(hot_rows, (size.total or 0) // max_hot)
-    if (size.largest or 0) <= bound:
-        return None
-    return counts.where(F.col("rows") > bound).select(
-        F.col(key).alias("_hot"), F.ceil(F.col("rows") / bound).cast("int").alias("_salts")
-    )
-
-
-def _fold_copies(df: DataFrame) -> DataFrame:
-    """Equal rows as groups of at most COPIES_TOGETHER, with the size of each group."""
-    columns = df.columns
-    last = F.floor((F.col("_n") - 1) / COPIES_TOGETHER)
-    return (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .select(
-            *columns,
-            "_part",
-            F.least(F.lit(COPIES_TOGETHER), F.col("_n") - F.col("_part") * COPIES_TOGETHER)
-            .cast("int")
-            .alias("_copies"),
+    sides = [
+        counts.select(
+            F.col(key).alias("_hot"),
+            F.when(F.col(key).isNull() & F.lit(not null_safe), F.lit(side)).alias("_side"),
+            (F.col("rows") if side == 1 else F.lit(0)).cast("double").alias("_n_left"),
+            (F.col("rows") if side == 2 else F.lit(0)).cast("double").alias("_n_right"),
         )
+        for side, counts in ((1, left_counts), (2, right_counts))
+    ]
+    n_left, n_right = F.col("_n_left"), F.col("_n_right")
+    pieces = F.ceil(F.greatest(n_left, F.lit(1)) * F.greatest(n_right, F.lit(1)) / pairs_together)
+    salts_left = (
+        F.when(n_left == 0, 1)
+        .when(n_right == 0, F.col("_pieces"))
+        .otherwise(F.least("_pieces", F.ceil(F.sqrt(F.col("_pieces") * n_left / n_right))))
+    )
+    found = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy("_hot", "_side")
+        .agg(F.sum("_n_left").alias("_n_left"), F.sum("_n_right").alias("_n_right"))
+        .withColumn("_pieces", pieces)
+        .where(F.col("_pieces") > 1)
+        .orderBy(F.desc("_pieces"), "_hot", "_side")
+        .limit(max_hot)
+        .withColumn("_salts_left", salts_left.cast("int"))
+        .withColumn("_salts_right", F.ceil(F.col("_pieces") / F.col("_salts_left")).cast("int"))
+        .select("_hot", "_n_left", "_n_right", "_salts_left", "_salts_right")
     )
+    rows = found.collect()
+    return left_counts.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
-def _salted(
-    df: DataFrame, key: str, own: DataFrame | None, other: DataFrame | None, null_safe: bool,
-    own_salt: str, other_salt: str, copies: str,
-) -> DataFrame:
-    """One side of a salted join.
+def _spread(df: DataFrame, key: str, hot: DataFrame, own: str, other: str) -> DataFrame:
+    """One side of a salted join: each row takes one salt of its side and all of the other's.
 
-    Rows of keys hot on this side get one salt each, from their content and copy number;
-    rows of keys hot on the other side are repeated once per salt over there.
+    The salt is a hash of the row, the same in every rerun; values pass through untouched.
+    Columns that hold maps or variants do not enter it. Equal rows share their salt, and
+    their pairs are then split by the other side's salts alone.
     """
-    columns = df.columns
-    single = [F.lit(0).alias(own_salt), F.lit(1).alias(copies)]
-    if own is None:
-        spread = df.select(*columns, *single)
-    else:
-        marked = df.join(F.broadcast(own), F.col(key).eqNullSafe(F.col("_hot")), "left")
-        cold = marked.where(F.col("_salts").isNull()).select(*columns, *single)
-        salt = F.pmod(F.xxhash64(*columns, "_part"), F.col("_salts")).cast("int")
-        hot = _fold_copies(marked.where(F.col("_salts").isNotNull()).drop("_hot")).select(
-            *columns, salt.alias(own_salt), F.col("_copies").alias(copies)
-        )
-        spread = cold.unionByName(hot)
-    if other is None:
-        return spread.withColumn(other_salt, F.lit(0))
-    # A null key only meets anything in a null-safe join.
-    match = F.col(key).eqNullSafe(F.col("_hot")) if null_safe else F.col(key) == F.col("_hot")
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    return (
-        spread.join(F.broadcast(other), match, "left")
-        .withColumn(other_salt, F.explode(salts))
-        .drop("_hot", "_salts")
+    hashed = [
+        f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))
+    ]
+    mine = hot.where(F.col(f"_n_{own}") > 0).select(
+        "_hot", F.col(f"_salts_{own}").alias("_own"), F.col(f"_salts_{other}").alias("_other"),
+        (F.col(f"_n_{other}") > 0).alias("_met"),
+    )
+    marked = df.join(F.broadcast(mine), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    salt = F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("_own")), F.lit(0)).cast("int")
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_other"), F.lit(1)) - 1)
+    return marked.select(
+        *df.columns,
+        salt.alias(f"_{own}"),
+        F.explode(every).alias(f"_{other}"),
+        F.coalesce("_met", F.lit(False)).alias(f"_{own}_met"),
     )
 
 
@@ -133,73 +132,53 @@ def key_join(
     key: str,
     how: str = "left",
     null_safe: bool = False,
-    hot_rows: int = HOT_ROWS,
+    pairs_together: int = PAIRS_TOGETHER,
+    left_counts: DataFrame | None = None,
     right_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join on one equally named key; columns other than the key must differ in name.
 
-    ``how`` is left, inner, right or outer. Spark splits skewed partitions of an inner
-    join on both sides, but never the side an outer join may fill with nulls. For that
-    side this finds hot keys, spreads their rows over salts and repeats the partner rows
-    per salt, so that every pair still meets exactly once. ``right_counts`` gives the rows
-    per key of the right side where they are known cheaper than by counting it; it may
-    leave out keys, which then count as not hot, but not name keys the side lacks.
+    ``how`` is left, inner, right or outer. Spark splits skewed partitions by size, and
+    never on a side that an outer join may fill with nulls. This one counts the keys of
+    both sides first, key columns only, and spreads every key with too many pairs over
+    salts on both sides, so that every pair still meets exactly once. ``left_counts`` and
+    ``right_counts`` give rows per key where they are known cheaper than by counting; the
+    keys they name must be on that side.
     """
     if how not in ("left", "inner", "right", "outer"):
         raise ValueError(f"unknown join type: {how}")
-    hot_left = hot_right = None
-    if how in ("left", "outer"):
-        counts = key_counts(right, key) if right_counts is None else right_counts
-        hot_right = hot_keys(counts, key, hot_rows)
-    if how in ("right", "outer"):
-        hot_left = hot_keys(key_counts(left, key), key, hot_rows)
-    if hot_left is None and hot_right is None:
-        return _plain(left, right, key, how, null_safe)
-
-    a = _salted(left, key, hot_left, hot_right, null_safe, "_sl", "_sr", "_cl")
-    b = _salted(right, key, hot_right, hot_left, null_safe, "_sr", "_sl", "_cr")
-    b = b.select(
-        F.col(key).alias("_right_key"),
-        *(c for c in right.columns if c != key),
-        F.col("_sl").alias("_sl_b"), F.col("_sr").alias("_sr_b"), "_cr",
+    hot = hot_keys(
+        key_counts(left, key) if left_counts is None else left_counts,
+        key_counts(right, key) if right_counts is None else right_counts,
+        key, null_safe, pairs_together,
     )
-    same_key = (
-        F.col(key).eqNullSafe(F.col("_right_key")) if null_safe else F.col(key) == F.col("_right_key")
+    if hot is None:
+        return _plain(left, right, key, how, null_safe)
+    a = _spread(left, key, hot, "left", "right")
+    b = _spread(right, key, hot, "right", "left").withColumnsRenamed(
+        {key: "_right_key", "_left": "_left_b", "_right": "_right_b"}
     )
+    # Few bytes can make many pairs, so neither size-based merging of partitions nor a
+    # broadcast may undo the spread.
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = a.repartition(width, key, "_left", "_right"), b.hint("merge")
+    one, two = F.col(key), F.col("_right_key")
+    same = one.eqNullSafe(two) if null_safe else one == two
     joined = a.join(
-        b, same_key & (F.col("_sl") == F.col("_sl_b")) & (F.col("_sr") == F.col("_sr_b")), how
+        b, same & (F.col("_left") == F.col("_left_b")) & (F.col("_right") == F.col("_right_b")), how
     )
-    joined = _drop_false_misses(joined, key, hot_left, hot_right, null_safe)
-    times = F.coalesce(F.col("_cl"), F.lit(1)) * F.coalesce(F.col("_cr"), F.lit(1))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).select(
-        F.coalesce(F.col(key), F.col("_right_key")).alias(key),
+    # A repeated row meets its partners in some salts only; where the key has partners, its
+    # null-filled copies in the other salts do not belong to the result.
+    false_miss = F.lit(False)
+    for here, there in (("_left_met", "_right_met"), ("_right_met", "_left_met")):
+        false_miss = false_miss | (F.coalesce(here, F.lit(False)) & F.col(there).isNull())
+    return joined.where(~false_miss).select(
+        F.coalesce(one, two).alias(key),
         *(c for c in left.columns if c != key),
         *(c for c in right.columns if c != key),
     )
 
 
-def _drop_false_misses(
-    joined: DataFrame, key: str, hot_left: DataFrame | None, hot_right: DataFrame | None,
-    null_safe: bool,
-) -> DataFrame:
-    """Remove null-filled rows of keys that are hot on the missing side.
-
-    Such a key has partners, so each of its rows met them in some salt; the rows that an
-    outer join filled with nulls in the other salts do not belong to the result.
-    """
-    for hot, this_key, here, there in (
-        (hot_right, key, "_cl", "_cr"),
-        (hot_left, "_right_key", "_cr", "_cl"),
-    ):
-        if hot is None:
-            continue
-        name = F.col(this_key)
-        match = name.eqNullSafe(F.col("_hot")) if null_safe else name == F.col("_hot")
-        false_miss = F.col(here).isNotNull() & F.col(there).isNull() & match
-        joined = joined.join(F.broadcast(hot.select("_hot")), false_miss, "left_anti")
-    return joined
-
-
 def join_tables(
     first: DataFrame, second: DataFrame, key: str = "reco_id_curr", how: str = "left",
     null_safe: bool = False,

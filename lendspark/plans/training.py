@@ -149,14 +149,21 @@ def applications_with_credits(
         applications = assert_unique(applications, "reco_id_curr")
         # Each application multiplies by its credits, and later by its loans: spread them
         # in the partitioning of those joins before, rather than as few files as they come
-        # in. Their keys are unique, so the partitions are even.
-        width = int(applications.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        applications = applications.repartition(width, "reco_id_curr")
+        # in. AQE chooses the width.
+        applications = applications.repartition("reco_id_curr")
     shared = (set(applications.columns) & set(credits.columns)) - {"reco_id_curr"}
     credits = credits.withColumnsRenamed({c: f"{c}_bureau" for c in shared})
     return key_join(applications, credits, "reco_id_curr", "left")
 
 
+def credit_counts(applications: DataFrame, credits: DataFrame) -> DataFrame:
+    """Rows of ``applications_with_credits`` per application, from key columns."""
+    found = key_counts(credits, "reco_id_curr").withColumnRenamed("rows", "found")
+    return key_counts(applications, "reco_id_curr").join(found, "reco_id_curr", "left").select(
+        "reco_id_curr", (F.col("rows") * F.coalesce("found", F.lit(1))).alias("rows")
+    )
+
+
 def training_set(
     applications: DataFrame,
     credits: DataFrame,
@@ -177,7 +184,8 @@ def training_set(
         shared = (set(joined.columns) & set(loans.columns)) - {"reco_id_curr"}
         loans = loans.withColumnsRenamed({c: f"{c}_prev" for c in shared})
         joined = key_join(
-            joined, loans, "reco_id_curr", "left", right_counts=prior_loan_counts(prior)
+            joined, loans, "reco_id_curr", "left",
+            left_counts=credit_counts(applications, credits), right_counts=prior_loan_counts(prior),
         )
     return select_existing(joined, order)
 
@@ -257,11 +265,12 @@ def write_training_snapshot(
     folder: str,
     at: datetime,
     compression: str = "snappy",
+    require_prior: bool = False,
 ) -> str:
     """Build the training set and write it; where it is.
 
-    Prior loans are optional: when their source does not resolve, the set lacks their
-    columns.
+    Prior loans are optional unless required: when their source is not there, the set
+    lacks their columns.
     """
-    prior = optional_source(load_prior, "prior loans")
+    prior = load_prior() if require_prior else optional_source(load_prior, "prior loans")
     return write_snapshot(training_set(applications, credits, prior), folder, at, compression)

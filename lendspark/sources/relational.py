@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import TypeVar
 
-from py4j.protocol import Py4JError
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,14 +65,42 @@ def run_sql(spark: SparkSession, sql: str, args=None, **tables: DataFrame) -> Da
     return spark.sql(sql, args=args, **tables)
 
 
+# Conditions of Spark and classes of Java that say a source is not there.
+ABSENT_CONDITIONS = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND", "DATA_SOURCE_NOT_FOUND")
+ABSENT_CLASSES = ("java.sql.SQLException", "java.io.IOException", "java.lang.ClassNotFoundException")
+# SQL states of this class mean that a login was refused.
+REFUSED_LOGIN = "28"
+
+
+def _is_absent(problem: Exception) -> bool:
+    if isinstance(problem, PySparkException):
+        return problem.getCondition() in ABSENT_CONDITIONS
+    if not isinstance(problem, Py4JJavaError):
+        return isinstance(problem, OSError)
+    cause = problem.java_exception
+    while cause is not None:
+        kind = cause.getClass()
+        while kind is not None:
+            if kind.getName() == "java.sql.SQLException" and (cause.getSQLState() or "").startswith(REFUSED_LOGIN):
+                return False
+            if kind.getName() in ABSENT_CLASSES:
+                return True
+            kind = kind.getSuperclass()
+        cause = cause.getCause()
+    return False
+
+
 def optional_source(load: Callable[[], T], name: str) -> T | None:
-    """What ``load`` returns, or None with a warning when its source does not resolve.
+    """What ``load`` returns, or None with a warning when its source is not there.
 
-    Loading a relation reads its schema, not its data, so this catches a source that is
-    away or malformed; failures while data is read later are not hidden.
+    Missing paths and tables, a missing driver and a failed connection count as not there;
+    a refused login and any other error are raised. Loading a relation reads its schema,
+    not its data, so failures while data is read later are not hidden either.
     """
     try:
         return load()
-    except (PySparkException, Py4JError, OSError) as problem:
+    except (PySparkException, Py4JJavaError, OSError) as problem:
+        if not _is_absent(problem):
+            raise
         log.warning("continuing without %s: %s", name, problem)
         return None

@@ -18,7 +18,7 @@ class BrokerSource:
     topic: str
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = 50
-    fail_on_data_loss: bool = False
+    fail_on_data_loss: bool = True
     extra: dict[str, str] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:

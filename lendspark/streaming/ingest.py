@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,11 +40,13 @@ class LakeTables:
     applications: str
     bureau_credits: str
     checkpoint: str
+    progress: str
 
     @staticmethod
     def under(root: str) -> LakeTables:
         root = root.rstrip("/")
-        return LakeTables(f"{root}/applications", f"{root}/bureau_credits", f"{root}/checkpoint")
+        names = ("applications", "bureau_credits", "checkpoint", "progress")
+        return LakeTables(*(f"{root}/{name}" for name in names))
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,16 @@ def _write(df: DataFrame, path: str) -> None:
     write_partitioned(df, path, mode="overwrite", rebalance=False)
 
 
+def _write_progress(
+    spark: SparkSession, path: str, at: Column, input_rows: int, landed: tuple[int, int] | None
+) -> None:
+    """The batch's own line of the progress table; written last, so it marks a finished batch."""
+    applications, credits = landed or (0, 0)
+    counts = {"input_rows": input_rows, "applications": applications, "credits": credits}
+    line = spark.range(1).select(at.alias("at"), *(F.lit(n).cast("long").alias(c) for c, n in counts.items()))
+    line.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def land_batch(
     batch: DataFrame,
     folder: str,
@@ -138,7 +150,14 @@ def start_ingest(
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"query_id={query_id}/batch_id={batch_id}"
         started = F.lit(datetime.now(timezone.utc)) if at is None else at
-        landed = land_batch(batch, folder, bki, balance, tables, started)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            input_rows = batch.count()
+            landed = land_batch(keep_row_events(batch), folder, bki, balance, tables, started)
+        finally:
+            batch.unpersist()
+        if input_rows:
+            _write_progress(batch.sparkSession, f"{tables.progress}/{folder}", started, input_rows, landed)
         if landed is None:
             return
         report = BatchReport(batch_id, *landed)
@@ -147,7 +166,7 @@ def start_ingest(
             on_batch(report)
 
     return (
-        keep_row_events(parse_events(records))
+        parse_events(records)
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", tables.checkpoint)
         .trigger(**(trigger or {"processingTime": TRIGGER}))

@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-PROGRESS_DDL = "query_id STRING, batch_id BIGINT, at STRING, input_rows BIGINT"
+PROGRESS_DDL = (
+    "query_id STRING, batch_id BIGINT, at TIMESTAMP, input_rows BIGINT, applications BIGINT, "
+    "credits BIGINT"
+)
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent batches with input. Spark keeps a fixed number of them per query."""
-    recent = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
-    return spark.createDataFrame(
-        [
-            (p["id"], p["batchId"], p["timestamp"], p["numInputRows"])
-            for p in recent
-            if p["numInputRows"] > 0
-        ],
-        PROGRESS_DDL,
-    )
+def progress_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Every batch with input that the ingest finished, from its progress table.
+
+    The table keeps all batches of all restarts. Before the first one it does not exist,
+    and reading it fails.
+    """
+    return spark.read.schema(PROGRESS_DDL).parquet(path)
 
 
 def watch(query: StreamingQuery, report=print, every_seconds: float = 10.0) -> None:

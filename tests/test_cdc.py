@@ -82,6 +82,25 @@ def test_current_state(spark):
     assert {r.reco_id_curr for r in landed.collect()} == {1, 2, 3}
 
 
+def test_current_state_with_any_key(spark):
+    wrapped = '{"schema":{},"payload":{"reco_id_curr":2}}'
+    rows = [
+        (None, event("c", {"reco_id_curr": 1, "income": "1"}, 10)),
+        ('{"reco_id_curr":1}', event("u", {"reco_id_curr": 1, "income": "2"}, 20)),
+        (wrapped, event("c", {"reco_id_curr": 2, "income": "3"}, 10)),
+        (wrapped, event("u", {"reco_id_curr": 2, "income": "4"}, 20)),
+        ('{"payload":{"reco_id_curr":3}}', event("c", {"reco_id_curr": 3, "income": "5"}, 10)),
+        ('{"payload":{"reco_id_curr":3}}', event("d", None, 20)),
+        (None, event("c", {"income": "6"}, 10)),
+        (None, event("c", {"income": "6"}, 10)),
+        (None, event("d", None, 99)),
+        ("not json", event("c", {"reco_id_curr": 4, "income": "7"}, 10)),
+    ]
+    parsed = cdc.parse_events(records(spark, [v for _, v in rows], [k for k, _ in rows]))
+    state = sorted((r.reco_id_curr or 0, r.income) for r in cdc.current_state(parsed).collect())
+    assert state == [(0, "6"), (0, "6"), (1, "2"), (2, "4"), (4, "7")]
+
+
 def test_typed_cast_keeps_categories(spark):
     image = {"reco_id_curr": 1, "income": "10.5", "loan_body": "n/a", "gender": "F"}
     row = cdc.typed_applications(cdc.parse_events(records(spark, [event("c", image)]))).first()

@@ -40,3 +40,4 @@ def test_ingest_options():
         "ingest --servers a:1 --topic t --bki b --balance c --lake l".split()
     )
     assert args.every == "120 seconds"
+    assert (args.starting_offsets, args.max_offsets, args.fail_on_data_loss) == ("latest", 50, "true")

@@ -32,31 +32,52 @@ def brute(a, b, how, null_safe):
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(a=SIDE, b=SIDE)
 def test_salted_join_matches_brute_force(spark, how, null_safe, a, b):
-    got = joins.key_join(frame(spark, a, "x"), frame(spark, b, "y"), "k", how, null_safe, hot_rows=2)
+    got = joins.key_join(frame(spark, a, "x"), frame(spark, b, "y"), "k", how, null_safe, pairs_together=3)
     assert Counter(tuple(r) for r in got.select("k", "x", "y").collect()) == brute(a, b, how, null_safe)
 
 
 @pytest.mark.parametrize("how", ["left", "right", "outer"])
-def test_hot_key_with_copies_keeps_every_row(spark, how, monkeypatch):
-    monkeypatch.setattr(joins, "COPIES_TOGETHER", 7)
+def test_hot_key_with_copies_keeps_every_row(spark, how):
     a = [(1, i % 2) for i in range(60)] + [(2, 0), (None, 5), (None, 6), (9, 9)]
     b = [(1, 0)] * 50 + [(1, 1)] * 10 + [(3, 3), (None, 1)]
     left, right = frame(spark, a, "x"), frame(spark, b, "y")
-    got = joins.key_join(left, right, "k", how, hot_rows=10)
+    got = joins.key_join(left, right, "k", how, pairs_together=100)
     assert Counter(tuple(r) for r in got.collect()) == brute(a, b, how, False)
 
 
-def test_hot_join_spreads_the_hot_key(spark):
-    right = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("y"))
-    hot = joins.hot_keys(joins.key_counts(right, "k"), "k", hot_rows=100)
-    assert [tuple(r) for r in hot.collect()] == [(1, 30)]
-    assert joins.hot_keys(joins.key_counts(right, "k"), "k") is None
-
-
-def test_hot_key_count_is_bounded(spark):
-    df = joins.key_counts(spark.range(2000).select((F.col("id") % 100).alias("k")), "k")
-    assert joins.hot_keys(df, "k", hot_rows=1, max_hot=50) is None  # 20 rows each, bound 40
-    assert joins.hot_keys(df, "k", hot_rows=1, max_hot=200).count() <= 200
+def test_hot_keys_follow_the_pairs(spark):
+    left = spark.createDataFrame([(1, 4000), (2, 10), (3, 1), (4, 500), (None, 900)], "k INT, rows LONG")
+    right = spark.createDataFrame([(1, 4000), (2, 10), (3, 10**9), (None, 7)], "k INT, rows LONG")
+    hot = joins.hot_keys(left, right, "k", pairs_together=100)
+    got = {(r._hot, r._n_left > 0): (r._salts_left, r._salts_right) for r in hot.collect()}
+    assert got == {
+        (1, True): (400, 400), (3, True): (1, 10**7), (4, True): (5, 1), (None, True): (9, 1),
+    }
+    assert joins.hot_keys(left, right, "k", pairs_together=10**10) is None
+    assert joins.hot_keys(left, right, "k", pairs_together=100, max_hot=2).count() == 2
+    one = joins.hot_keys(left, right, "k", null_safe=True, pairs_together=1000).where("_hot IS NULL").first()
+    assert (one._n_left, one._n_right) == (900, 7)
+
+
+def test_hot_join_leaves_several_tasks(spark):
+    rows = [(1, i) for i in range(400)]
+    got = joins.key_join(frame(spark, rows, "x"), frame(spark, rows, "y"), "k", "left", pairs_together=2000)
+    tasks = got.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 160_000 and len(tasks) > 1
+
+
+@pytest.mark.parametrize("how", ["left", "outer"])
+def test_salted_join_changes_no_value(spark, how):
+    left = spark.createDataFrame(
+        [(1, -0.0, {"a": 1}), (1, 0.0, {"a": 1}), (1, float("nan"), None), (2, -0.0, {}), (None, 1.0, None)],
+        "k INT, x DOUBLE, m MAP<STRING, INT>",
+    )
+    right = spark.createDataFrame([(1, -0.0, {"b": 2}), (1, -0.0, {"b": 2}), (3, 0.0, {})], "k INT, y DOUBLE, n MAP<STRING, INT>")
+    rows = [
+        Counter(repr(tuple(r)) for r in joins.key_join(left, right, "k", how, pairs_together=p).collect())
+        for p in (1, 10**9)
+    ]
+    assert rows[0] == rows[1] and sum(rows[0].values()) == (8 if how == "left" else 9)
 
 
 def test_join_tables_suffixes(spark):

@@ -2,6 +2,7 @@ from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lendspark import session
@@ -118,6 +119,9 @@ def test_optional_source(spark, tmp_path):
     assert relational.optional_source(lambda: spark.read.parquet(str(tmp_path / "no")), "files") is None
     missing = relational.JdbcSource("jdbc:postgresql://db.invalid/x", {"user": "u"})
     assert relational.optional_source(lambda: missing.query(spark, "select 1"), "database") is None
+    # A fault of the plan is no absence.
+    with pytest.raises(AnalysisException):
+        relational.optional_source(lambda: spark.range(3).select("no_such_column"), "plan")
 
 
 def test_run_sql_binds_values(spark):

@@ -49,7 +49,7 @@ def drain(spark, world, reports=None):
 def test_ingest_restart_and_progress(spark, world):
     folder, _, _, tables = world
     reports = []
-    query = drain(spark, world, reports)
+    drain(spark, world, reports)
     # The batch that held only a delete landed nothing.
     assert sorted((r.applications, r.credits, r.ratio) for r in reports) == [(2, 0, 0.0), (2, 4, 2.0)]
     apps = scan_all(spark, tables.applications)
@@ -57,11 +57,16 @@ def test_ingest_restart_and_progress(spark, world):
     got = {r.kafka_offset: (r.bureau_api_status, r.data_quality_score, r.day) for r in apps.collect()}
     assert got == {0: ("success", 100, 8), 1: ("success", 100, 8), 20: ("not_found", 80, 8), 21: ("null_id", 0, 8)}
     assert scan_all(spark, tables.bureau_credits).count() == 4
-    assert sum(r.input_rows for r in progress.progress_rows(spark, query).collect()) == 5
+    assert sum(r.input_rows for r in progress.progress_rows(spark, tables.progress).collect()) == 5
 
     write_records(spark, folder, [("c", 1)], 30)
     drain(spark, world, reports)
     assert scan_all(spark, tables.applications).count() == 5
+    rows = progress.progress_rows(spark, tables.progress).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.input_rows, r.applications, r.credits) for r in rows] == [
+        (0, 2, 2, 4), (1, 1, 0, 0), (2, 2, 2, 0), (3, 1, 1, 2),
+    ]
+    assert len({r.query_id for r in rows}) == 1
     summary = ingest.batch_summary(scan_all(spark, tables.applications), scan_all(spark, tables.bureau_credits))
     assert sorted((r.applications, r.credits, r.credits_per_application) for r in summary.collect()) == [
         (1, 2, 2.0), (2, 0, 0.0), (2, 4, 2.0),
@@ -114,4 +119,4 @@ def test_stop(spark, world):
 def test_broker_options():
     options = BrokerSource("a:1,b:2", "topic").options()
     assert options["subscribe"] == "topic" and options["maxOffsetsPerTrigger"] == "50"
-    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
+    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "true"

@@ -156,5 +156,5 @@ def test_hot_loans_and_applications(spark, prior, monkeypatch):
 
     some = apps(spark, (100, "1", 0), (101, "2", 0), (103, "3", 0))
     plain = Counter(training.training_set(some, credits(spark), prior).collect())
-    monkeypatch.setattr(joins.key_join, "__defaults__", (*joins.key_join.__defaults__[:2], 1, None))
+    monkeypatch.setattr(joins.key_join, "__defaults__", (*joins.key_join.__defaults__[:2], 1, None, None))
     assert Counter(training.training_set(some, credits(spark), prior).collect()) == plain
