@@ -81,7 +81,13 @@ def string_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w, seed) for w in words.to_pylist()), np.uint64, len(words))
+    return np.fromiter((digest(w, seed) for w in words.to_numpy(zero_copy_only=False)), np.uint64, len(words))
+
+
+def distinct_numbers(x: np.ndarray) -> np.ndarray:
+    """Distinct numbers in ascending order; sorting beats the hash table of ``np.unique``."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def ngram_hashes(word_hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import coded, mixed, ngram_hashes, slices, string_hashes, table, words_of, written
+from lendspark.llm.common import coded, distinct_numbers, mixed, ngram_hashes, slices, string_hashes, table, words_of, written
 from lendspark.llm.components import components
 
 BINS = 64
@@ -82,7 +82,7 @@ def sketches(docs: DataFrame, settings: Join, id_column: str, text_column: str)
                 whole = [int(np.bitwise_xor.reduce(mixed(hashes[first[i] : first[i] + sizes[i]] + np.arange(1, sizes[i] + 1).astype(np.uint64)))) for i in short]
                 grams, owner = np.append(grams, np.array(whole, np.uint64)), np.append(owner, short)
             # Distinct shingles of each text: 20 bits of its row, then 44 of the shingle's hash.
-            keys = np.unique(owner.astype(np.uint64) << np.uint64(44) | grams >> np.uint64(20))
+            keys = distinct_numbers(owner.astype(np.uint64) << np.uint64(44) | grams >> np.uint64(20))
             owner = (keys >> np.uint64(44)).astype(np.int64)
             count = np.bincount(owner, minlength=texts)
             bins = (keys >> np.uint64(38)).astype(np.int64)
@@ -210,7 +210,7 @@ def similarities(words: pa.Array, k: int) -> np.ndarray:
         whole = np.bitwise_xor.reduce(mixed(hashes[rows == i] + np.arange(1, counts[i] + 1).astype(np.uint64)))
         grams, owner = np.append(grams, whole), np.append(owner, i)
     names, gram = np.unique(grams, return_inverse=True)
-    pairs = np.unique(owner.astype(np.int64) * len(names) + gram)
+    pairs = distinct_numbers(owner.astype(np.int64) * len(names) + gram)
     owner, gram = pairs // len(names), pairs % len(names)
     sizes = np.bincount(owner, minlength=n).astype(np.float64)
     both = np.zeros((n, n))
