@@ -1,9 +1,11 @@
 """Quality rules with thresholds that adapt to each language and source.
 
 A group's values are counted in logarithmic bins, a quantile sketch of fixed relative
-error that merges by adding counts and does not depend on the order of rows. Fences above
-and below the quartiles replace fixed cutoffs; small groups use the merged sketch of
-their language, or of all texts. The fences are joined back and decide.
+error that merges by adding counts and does not depend on the order of rows. Fences beyond
+a group's outer quantiles replace fixed cutoffs; small groups use the merged sketch of
+their language, or of all texts. The fences are joined back and decide. No rate has a
+fixed limit: where most texts of a group have none of something, only the few occurrences
+that chance puts into a text of any length are allowed.
 """
 
 from __future__ import annotations
@@ -25,16 +27,16 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 
 @dataclass(frozen=True)
 class Rules:
-    """``bins``: bins per unit of the natural logarithm, so 1 % wide. ``fence``: interquartile
-    ranges beyond a quartile. ``group``: least texts of a sketch of its own. A fence is never
-    closer than half or twice its quartile, nor below the floors (per 1,000)."""
+    """``bins``: bins per unit of the natural logarithm, so 1 % wide. ``outer``: share of
+    texts below the upper and above the lower quantile. ``fence``: distances of that quantile
+    from the median beyond it. ``group``: least texts of a sketch of its own. ``chance``:
+    occurrences that a text may have above its group's fence, whatever its length."""
 
     bins: int = 100
+    outer: float = 0.9
     fence: float = 3.0
     group: int = 200
-    symbol_floor: int = 100
-    line_floor: int = 500
-    repeat_floor: int = 200
+    chance: int = 3
     min_words: int = 10
     base_repeat_percent: int = 20
 
@@ -83,52 +85,55 @@ def measures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
 
 def rates(rules: Rules) -> dict[str, tuple]:
-    """Per rule: its whole-number rate, and its floor; a rule without one also has a lower fence."""
+    """Per rule: its whole-number rate per 1,000, what it counts, out of what, and the count
+    of one occurrence (two runs of five words for a repeat); None for a rule with both fences."""
     per = lambda a, b: F.floor(F.col(a) * 1000 / F.greatest(F.col(b), F.lit(1)))
-    return {
-        "word_length": (per("word_chars", "n_words"), None),
-        "symbols": (per("n_symbols", "n_words"), rules.symbol_floor),
-        "dup_lines": (per("n_dup_lines", "n_lines"), rules.line_floor),
-        "repeats": (per("n_repeat_words", "n_words"), rules.repeat_floor),
+    parts = {
+        "word_length": ("word_chars", "n_words", None),
+        "symbols": ("n_symbols", "n_words", 1),
+        "dup_lines": ("n_dup_lines", "n_lines", 1),
+        "repeats": ("n_repeat_words", "n_words", 10),
     }
+    return {rule: (per(a, b), a, b, one) for rule, (a, b, one) in parts.items()}
 
 
 def sketches(measured: DataFrame, rules: Rules) -> DataFrame:
     """(lang, source, rule, bin, n) over the texts that pass the base rules."""
-    each = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, (v, _) in rates(rules).items())))
+    each = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, (v, *_) in rates(rules).items())))
     values = measured.where("not base_failed").select("lang", "source", each.alias("x"))
     bin_of = F.floor(F.log1p(F.col("x.value").cast("double")) * rules.bins)
     return values.groupBy("lang", "source", F.col("x.rule").alias("rule"), bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(sketch: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
-    """Per key and rule: number of values and both quartiles, at their bins' middles."""
+def quantiles(sketch: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
+    """Per key and rule: number of values, their median and outer quantiles, at their bins' middles."""
     merged = sketch.groupBy(*keys, "rule", "bin").agg(F.sum("n").alias("n"))
     # A window holds the bins of one group, about 1,500 at most.
     own = Window.partitionBy(*keys, "rule")
     merged = merged.withColumn("total", F.sum("n").over(own)).withColumn("upto", F.sum("n").over(own.orderBy("bin")))
     at = lambda q: F.min(F.when(F.col("upto") >= F.col("total") * q, F.expm1((F.col("bin") + 0.5) / rules.bins)))
-    return merged.groupBy(*keys, "rule").agg(F.max("total").alias("total"), at(0.25).alias("q1"), at(0.75).alias("q3"))
+    return merged.groupBy(*keys, "rule").agg(F.max("total").alias("total"), *(at(q).alias(n) for n, q in (("low", 1 - rules.outer), ("middle", 0.5), ("high", rules.outer))))
 
 
 def fences(sketch: DataFrame, rules: Rules) -> DataFrame:
     """One row per language and source with each rule's lower and upper fence."""
     sketch = written(sketch.na.fill("\u0000", ["lang", "source"]), "sketch")
-    facts = F.struct("total", "q1", "q3")
-    own = quartiles(sketch, ["lang", "source"], rules).select("lang", "source", "rule", facts.alias("own"))
-    lang = quartiles(sketch, ["lang"], rules).select("lang", "rule", facts.alias("of_lang"))
-    every = quartiles(sketch, [], rules).select("rule", facts.alias("of_all"))
+    facts = F.struct("total", "low", "middle", "high")
+    own = quantiles(sketch, ["lang", "source"], rules).select("lang", "source", "rule", facts.alias("own"))
+    lang = quantiles(sketch, ["lang"], rules).select("lang", "rule", facts.alias("of_lang"))
+    every = quantiles(sketch, [], rules).select("rule", facts.alias("of_all"))
     found = own.join(lang, ["lang", "rule"]).join(every, "rule")
     best = F.when(F.col("own.total") >= rules.group, F.col("own")).when(F.col("of_lang.total") >= rules.group, F.col("of_lang")).otherwise(F.col("of_all"))
     found = found.select("lang", "source", "rule", best.alias("x"))
-    spread = rules.fence * (F.col("x.q3") - F.col("x.q1"))
-    upper = F.greatest(F.col("x.q3") + spread, F.col("x.q3") * 2)
-    lower = F.least(F.col("x.q1") - spread, F.col("x.q1") / 2)
+    # A bin's width at least, which is the sketch's error.
+    beyond = lambda q, d: F.greatest(rules.fence * d, F.col(q) / rules.bins)
+    upper = F.col("x.high") + beyond("x.high", F.col("x.high") - F.col("x.middle"))
+    lower = F.col("x.low") - beyond("x.low", F.col("x.middle") - F.col("x.low"))
     columns = []
-    for rule, (_, floor) in rates(rules).items():
+    for rule in rates(rules):
         mine = F.col("rule") == rule
-        columns.append(F.max(F.when(mine, upper if floor is None else F.greatest(upper, F.lit(float(floor))))).alias(f"{rule}_most"))
-        columns.append(F.max(F.when(mine, lower if floor is None else F.lit(-1.0))).alias(f"{rule}_least"))
+        columns.append(F.max(F.when(mine, upper)).alias(f"{rule}_most"))
+        columns.append(F.max(F.when(mine, lower)).alias(f"{rule}_least"))
     return written(found.groupBy("lang", "source").agg(*columns), "fences")
 
 
@@ -144,8 +149,12 @@ def judged(docs: DataFrame, rules: Rules = Rules(), id_column: str = "doc_id", t
     measured = written(measured.withColumn("base_failed", failed).na.fill("\u0000", ["lang", "source"]), "measures")
     limits = fences(sketches(measured, rules), rules)
     inside = F.lit(True)
-    for rule, (value, _) in rates(rules).items():
-        inside = inside & F.coalesce(value.between(F.col(f"{rule}_least"), F.col(f"{rule}_most")), F.lit(True))
+    for rule, (value, count, of, one) in rates(rules).items():
+        if one is None:
+            within = value.between(F.col(f"{rule}_least"), F.col(f"{rule}_most"))
+        else:
+            within = F.col(count) <= F.col(f"{rule}_most") * F.col(of) / 1000 + rules.chance * one
+        inside = inside & F.coalesce(within, F.lit(True))
     joined = measured.join(limits, ["lang", "source"], "left")
     return joined.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & inside).alias("kept"))
 

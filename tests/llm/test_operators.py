@@ -188,6 +188,29 @@ def test_quality_counts(docs, texts):
         assert not (r["base_failed"] and r["kept"])
 
 
+def test_quality_depends_on_the_group(spark):
+    def text(k, size, symbols, repeats=0, length=3):
+        own = [f"{k:03d}{i:03d}"[-6:].ljust(length, "x") for i in range(size)]
+        own[:symbols] = [w + "#" for w in own[:symbols]]
+        return " ".join(own + own[-10:] * repeats)
+
+    rows = []
+    for k in range(300):
+        # Group a has no symbols and no repeats and its words are short; in b some are usual and words are long.
+        rows.append((k, text(k, 200, 0), "en", "a", 0))
+        rows.append((1000 + k, text(k, 200, k % 20, repeats=k % 3, length=9 + k % 4), "en", "b", 0))
+    for g, first in (("a", 5000), ("b", 6000)):
+        rows.append((first, text(900, 200, 18), "en", g, 0))
+        rows.append((first + 1, text(901, 200, 0, repeats=3), "en", g, 0))
+        rows.append((first + 2, text(902, 200, 0, length=11), "en", g, 0))
+        rows.append((first + 3, text(903, 200, 3), "en", g, 0))
+        rows.append((first + 4, text(904, 200, 190), "en", g, 0))
+    kept = {r["doc_id"]: r["kept"] for r in quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [kept[5000 + k] for k in range(5)] == [False, False, False, True, False]
+    assert [kept[6000 + k] for k in range(5)] == [True, True, True, True, False]
+    assert all(kept[k] for k in range(300)) and all(kept[1000 + k] for k in range(300))
+
+
 def test_pii(hard):
     rows = {r["doc_id"]: r for r in pii.anonymise(hard).collect()}
     four, five, seven = rows[4]["text"], rows[5]["text"], rows[7]["text"]
