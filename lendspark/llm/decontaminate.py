@@ -1,7 +1,7 @@
 """Benchmark passages in training texts: rare n-gram seeds, then Smith-Waterman alignment.
 
-The n-grams of the test items are counted over all texts; each item keeps its rarer ones
-as seeds. Seed hits of a text and an item that lie near one diagonal give a window, and
+The n-grams of the test items are counted over all texts; each item keeps as seeds all that
+some text holds, except those that texts hold everywhere, such as stop phrases. Seed hits of a text and an item that lie near one diagonal give a window, and
 the item is aligned with it locally, word by word, so edited copies score high too.
 """
 
@@ -26,11 +26,15 @@ EDGE = ".,;:!?\"'()[]*#$%&|<>"
 
 @dataclass(frozen=True)
 class Alignment:
-    """``kept``: share of an item's n-grams, the rarest first, that serve as seeds.
+    """``common``: an n-gram held by more than this share of the texts is a stop phrase and no
+    seed, unless it is among the ``kept`` share of its item's n-grams that fewest texts hold;
+    n-grams in fewer than ``rare`` texts always are seeds.
     ``score``: least alignment score as a share of the item's own."""
 
     seed: int = 4
     kept: float = 0.75
+    common: float = 0.01
+    rare: int = 1000
     match: int = 2
     mismatch: int = -1
     gap: int = -1
@@ -69,13 +73,20 @@ class Items:
         self.hashes, self.first, self.count = np.unique(seeds[:, 0], return_index=True, return_counts=True)
         self.seeds = seeds
 
-    def rarest(self, texts_with: np.ndarray, kept: float) -> None:
-        """Keep of each item the ``kept`` share of n-grams that the fewest texts hold."""
+    def choose(self, texts_with: np.ndarray, texts: int, a: Alignment) -> None:
+        """Drop n-grams that no text holds, and each item's stop phrases beyond its rarer part.
+
+        What an edited copy still holds is thus a seed, unless it is common everywhere.
+        """
         frequency = np.repeat(texts_with, self.count)
+        held = frequency > 0
+        self._set(self.seeds[held])
+        frequency = frequency[held]
         order = np.lexsort((self.at, frequency, self.item))
         sizes = np.bincount(self.item, minlength=len(self.ids))
         rank = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self._set(self.seeds[order[rank < np.ceil(kept * np.repeat(sizes, sizes))]])
+        rarer = rank < np.ceil(a.kept * np.repeat(sizes, sizes))
+        self._set(self.seeds[order[rarer | (frequency[order] <= max(a.rare, a.common * texts))]])
 
     def hits(self, hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word position and seed number of every n-gram that is a seed."""
@@ -139,6 +150,9 @@ def found_in(hashes: np.ndarray, rows: np.ndarray, items: Items, a: Alignment) -
         k = item[s]
         low = max(lo, diagonal[s] - slack[k])
         high = min(hi, diagonal[e] + sizes[k] + slack[k])
+        # Each match needs a word of the item in the window: too few, and no alignment can reach the score.
+        if np.isin(items.words[k], hashes[low:high]).sum() < a.score * sizes[k]:
+            continue
         score, first, last = align(hashes[low:high], items.words[k], a)
         share = score / (a.match * sizes[k])
         key = (int(row[s]), int(k))
@@ -148,7 +162,7 @@ def found_in(hashes: np.ndarray, rows: np.ndarray, items: Items, a: Alignment) -
 
 
 def seeded_blocks(texts: DataFrame, items: DataFrame, settings: Alignment, item_id: str, item_text: str) -> Iterator:
-    """The items in broadcast blocks of bounded size, each with its rare seeds."""
+    """The items in broadcast blocks of bounded size, each with its seeds."""
     spark = texts.sparkSession
     items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -161,19 +175,21 @@ def seeded_blocks(texts: DataFrame, items: DataFrame, settings: Alignment, item_
         def count(batches: Iterator[pa.RecordBatch], shared=counting) -> Iterator[pa.RecordBatch]:
             items = shared.value
             size = max(1, len(items.hashes))
-            total = np.zeros(size, np.int64)
+            total, texts = np.zeros(size, np.int64), 0
             for batch in slices(batches, "text"):
+                texts += batch.num_rows
                 hashes, rows = word_hashes(batch.column("text"))
                 at, which = items.hits(hashes, rows)
                 total += np.bincount(np.unique(rows[at] * size + which) % size, minlength=size)
             seen = np.flatnonzero(total)
-            yield pa.record_batch([pa.array(seen), pa.array(total[seen])], ["seed", "n"])
+            # The number of texts goes along as seed -1.
+            yield pa.record_batch([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], texts))], ["seed", "n"])
 
         counted = texts.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n"))
-        texts_with = np.zeros(len(seeds.hashes), np.int64)
+        texts_with = np.zeros(len(seeds.hashes) + 1, np.int64)
         for seed, n in counted.collect():  # at most a row per seed of the block
             texts_with[seed] = n
-        seeds.rarest(texts_with, settings.kept)
+        seeds.choose(texts_with[:-1], int(texts_with[-1]), settings)
         yield spark.sparkContext.broadcast(seeds)
 
 

@@ -99,6 +99,27 @@ def test_decontaminate_hard_rows(hard, items, spark):
     assert [r["item_id"] for r in near.collect()] == [1]
 
 
+def test_edited_copy_with_few_intact_ngrams(spark):
+    item = [f"w{i}" for i in range(40)]
+    # Every fourth word replaced but in one stretch of six words: three 4-grams of 37 stay.
+    copy = [w if i % 4 or 17 <= i < 23 else f"x{i}" for i, w in enumerate(item)]
+    intact = [i for i in range(37) if copy[i : i + 4] == item[i : i + 4]]
+    assert 1 <= len(intact) <= 37 // 4
+    rows = [(1, " ".join(["before", *copy, "after"])), (2, " ".join(f"y{i}" for i in range(50)))]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["item_id"]) for r in decontaminate.decontaminate(texts, bench).collect()]
+    assert found == [(1, 7)]
+    assert [r["doc_id"] for r in decontaminate.without_leaks(texts, bench).collect()] == [2]
+
+
+def test_stop_phrases_are_no_seeds_beyond_the_rarer_part():
+    items = decontaminate.Items([1], [" ".join(f"w{i}" for i in range(11))], 4)
+    settings = decontaminate.Alignment(rare=2, common=0.1)
+    items.choose(np.array([0, 0, 1, 1, 2, 10, 11, 90]), 100, settings)
+    assert len(items.hashes) == 5
+
+
 def test_leaks_against_whole_passages(spark, docs, texts):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.decontaminate(docs, bench).collect()}
