@@ -30,10 +30,11 @@ SYLLABLES = {
     "cyrillic": ("бал", "вер", "гор", "дан", "зор", "кал", "лин", "мар", "нов", "пет", "рос", "сам", "тар", "фед", "хол", "чер"),
 }
 UPPER = r"\p{Lu}\p{L}+"
+SECRET_WORDS = "password|passwd|secret|token|api[_-]?key"
 """Patterns by type, tried in this order at each place of a text."""
 PATTERNS = {
     "email": r"\b[A-Za-z0-9][\w.+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "secret": r"(?i:\b(?:password|passwd|secret|token|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_+/\-]{8,}",
+    "secret": rf"(?i:\b(?:{SECRET_WORDS})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?)[A-Za-z0-9_+/\-]{{8,}}",
     "access_key": r"\bAKIA[0-9A-Z]{16}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"\b(?:\d{1,3}\.){3}\d{1,3}\b",
@@ -43,7 +44,7 @@ PATTERNS = {
     "name": r"\b(?:" + "|".join(TITLES["m"] + TITLES["f"]) + rf")\b\.? {UPPER}(?: {UPPER})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-HINT = "[0-9@=]|" + "|".join(TITLES["m"] + TITLES["f"])
+HINT = f"[0-9@=]|AKIA|(?i:{SECRET_WORDS})|" + "|".join(TITLES["m"] + TITLES["f"])
 """Holds wherever a pattern does, and is far cheaper to look for."""
 
 
