@@ -2,8 +2,8 @@
 
 A unit is a sentence or the rest of a line; it is normalised and hashed to 128 bits. Per
 digest the occurrence of the least rank stays. Others are repeats, and neighbouring
-repeats of a text form a passage; passages of enough words are removed. Offsets refer to
-the original text.
+repeats of a text form a passage, which is removed. Only passages of one or two words are
+too short to tell a repeat from chance, and stay. Offsets refer to the original text.
 """
 
 from __future__ import annotations
@@ -23,10 +23,9 @@ UNIT = re.compile(r"\S[^\n]*?(?:[.!?](?=\s)|(?=\n)|\Z)")
 
 @dataclass(frozen=True)
 class Passages:
-    """``words``: least length of a removed passage. Shorter repeats, such as a licence
-    line or a greeting, stay."""
+    """``words``: least length of a removed passage, a floor against noise such as "Yes."."""
 
-    words: int = 20
+    words: int = 3
 
 
 def units(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:

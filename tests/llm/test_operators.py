@@ -190,6 +190,22 @@ def test_repeats_keep_the_first(hard):
     assert line_dedup.cut_out(text, span).strip() == "Mail ann.bee@mail.example.com or 10.20.30.41 now."
 
 
+def test_short_repeats_are_removed(spark):
+    rows = [
+        (1, "Sign up for our letter.\nFirst own sentence of one. Stay calm today. Yes."),
+        (2, "Sign up for our letter.\nSecond own text. Stay calm today. An end. Yes."),
+        (3, "A third begins. Sign up for our letter. Yes. Stay calm today."),
+    ]
+    own = dict(rows)
+    found = line_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    removed = sorted((r["doc_id"], own[r["doc_id"]][r["begin"] : r["end"]], r["kept_doc_id"]) for r in found)
+    assert removed == [
+        (2, "Sign up for our letter.", 1),
+        (2, "Stay calm today.", 1),
+        (3, "Sign up for our letter. Yes. Stay calm today.", 1),
+    ]
+
+
 def test_licenses(hard, docs, texts):
     assert [(r["doc_id"], r["license"], r["first_word"]) for r in licenses.scan(hard).collect()] == [(7, "mit", 0)]
     found = {r["doc_id"] for r in licenses.scan(docs).collect() if r["license"] == "apache-2.0"}
