@@ -245,25 +245,26 @@ SQL = {
         SELECT reco_id_curr, count(*) AS n
         FROM bki JOIN balance USING (reco_bureau_id) GROUP BY 1""",
     "prior": """
-        SELECT COALESCE(pl.reco_id_last, a.reco_id_last, c.reco_id_last, i.reco_id_last)
-                   AS reco_id_last,
-               COALESCE(pl.reco_id_curr, a.reco_id_curr, c.reco_id_curr, i.reco_id_curr)
-                   AS reco_id_curr,
-               pl.contract_type_name AS prev_contract_type_name, pl.loan_body AS prev_loan_body,
-               pl.contract_status_name AS prev_contract_status, pl.days_decision,
-               a.months_balance AS cashpos_months_balance, a.installment_count,
-               a.contract_status_name AS cashpos_contract_status_name,
-               c.months_balance AS cc_months_balance, c.balance, c.drawings_count,
-               c.contract_status_name AS cc_contract_status_name,
-               i.number_of_instalment_ver, i.number_of_instalment_num,
-               i.payment AS actual_payment
-        FROM previous_loan pl
-        LEFT JOIN cash_pos_balance a
-               ON pl.reco_id_last = a.reco_id_last AND a.months_balance BETWEEN -3 AND 0
-        LEFT JOIN credit_card_balance c
-               ON pl.reco_id_last = c.reco_id_last AND c.months_balance BETWEEN -3 AND 0
-        LEFT JOIN installments_payments i ON pl.reco_id_last = i.reco_id_last
-        WHERE pl.days_decision >= -365""",
+        WITH loans AS (
+            SELECT reco_id_last, reco_id_curr AS borrower, contract_type_name AS prev_contract_type_name,
+                   loan_body AS prev_loan_body, contract_status_name AS prev_contract_status, days_decision
+            FROM previous_loan WHERE days_decision + 365 >= 0),
+        cash AS (
+            SELECT reco_id_last, reco_id_curr AS cash_owner, months_balance AS cashpos_months_balance,
+                   installment_count, contract_status_name AS cashpos_contract_status_name
+            FROM cash_pos_balance WHERE months_balance IN (0, -1, -2, -3)),
+        cards AS (
+            SELECT reco_id_last, reco_id_curr AS card_owner, months_balance AS cc_months_balance,
+                   balance, drawings_count, contract_status_name AS cc_contract_status_name
+            FROM credit_card_balance WHERE months_balance IN (0, -1, -2, -3)),
+        paid AS (
+            SELECT reco_id_last, reco_id_curr AS payer, number_of_instalment_ver,
+                   number_of_instalment_num, payment AS actual_payment
+            FROM installments_payments)
+        SELECT * EXCLUDE (borrower, cash_owner, card_owner, payer),
+               COALESCE(borrower, cash_owner, card_owner, payer) AS reco_id_curr
+        FROM loans LEFT JOIN cash USING (reco_id_last) LEFT JOIN cards USING (reco_id_last)
+             LEFT JOIN paid USING (reco_id_last)""",
     "credits": """
         SELECT b.*, bb.months_balance, bb.stat_for_bureau
         FROM bki b JOIN balance bb ON b.reco_bureau_id = bb.reco_bureau_id""",

@@ -6,7 +6,7 @@ from lendspark.catalog import roles
 from lendspark.catalog.registry import plain_numbers, query
 from lendspark.functions.columns import keep_first_names, non_null_counts
 from lendspark.operators import cdc, enrich, joins, model
-from lendspark.plans import training
+from lendspark.plans import training, training_facts
 from lendspark.session import scratch_path
 
 _EXPORTED_AT = "2025-10-28 09:30:00"
@@ -64,12 +64,13 @@ def apps_bureau_left_join(spark, sf):
     )
 
 
+def training_tables(spark, sf):
+    return roles.applications(spark, sf), lake_credits(spark, sf), roles.prior_loans(spark, sf)
+
+
 def training_frame(spark, sf, with_prior=True):
-    return training.training_set(
-        roles.applications(spark, sf),
-        lake_credits(spark, sf),
-        roles.prior_loans(spark, sf) if with_prior else None,
-    )
+    applications, credits, prior = training_tables(spark, sf)
+    return training.training_set(applications, credits, prior if with_prior else None)
 
 
 @query("training_set", roles.sql(_TRAINING, "applications", "credits", "prior"))
@@ -126,7 +127,7 @@ def training_set_current(spark, sf):
     ),
 )
 def source_coverage(spark, sf):
-    return training.source_coverage(training_frame(spark, sf))
+    return training_facts.source_coverage(*training_tables(spark, sf))
 
 
 @query(
@@ -156,7 +157,7 @@ def source_coverage(spark, sf):
 )
 def training_summary(spark, sf):
     at = F.to_timestamp_ntz(F.lit(_EXPORTED_AT))
-    return training.training_summary(training_frame(spark, sf), at)
+    return training_facts.training_summary(*training_tables(spark, sf), at)
 
 
 @query(

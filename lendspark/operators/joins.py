@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendspark.operators.key_sketch import KeySketch, crowded_buckets, key_bucket, sketches
+
 # Pairs of rows that one key may join in one task; a key with more is spread over several.
 PAIRS_TOGETHER = 10_000_000
 # Keys spread at most, those with the most pairs; bounds what is collected and broadcast.
@@ -12,6 +14,8 @@ PAIRS_TOGETHER = 10_000_000
 MAX_HOT_KEYS = 10_000
 # Distinct keys that may travel into the scan of another table as literals.
 PUSHED_KEYS = 1_000
+# Buckets of a sketch whose keys are counted by a filter; with more, all keys are.
+FILTERED_BUCKETS = 1_000
 
 
 def key_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -32,6 +36,20 @@ def assert_unique(df: DataFrame, *keys: str) -> DataFrame:
     return df
 
 
+def enforced_unique(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows, spread and sorted by their key; a repeated key is an error when they are read.
+
+    A join on the key uses the same exchange and order, so the check costs no shuffle of
+    its own. Null counts as a key of its own.
+    """
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    message = F.concat(
+        F.lit(f"key {', '.join(keys)} is not unique: "), F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    )
+    checked = df.withColumn("_place", place).where(F.assert_true(F.col("_place") == 1, message).isNull())
+    return checked.drop("_place")
+
+
 def narrowed(
     df: DataFrame, rows: DataFrame, key: str, pushed_keys: int = PUSHED_KEYS
 ) -> DataFrame:
@@ -126,6 +144,29 @@ def _plain(left: DataFrame, right: DataFrame, key: str, how: str, null_safe: boo
     )
 
 
+def _counted_hot_keys(
+    left: DataFrame, right: DataFrame, key: str, null_safe: bool, pairs_together: int,
+    left_sketch: KeySketch | None, right_sketch: KeySketch | None,
+) -> DataFrame | None:
+    """Hot keys, counted exactly among the keys that the sketches cannot rule out."""
+    missing = {
+        name: (df, key)
+        for name, df, known in (("left", left, left_sketch), ("right", right, right_sketch))
+        if known is None
+    }
+    made = sketches(missing)
+    crowded = crowded_buckets(
+        left_sketch or made["left"], right_sketch or made["right"], pairs_together, null_safe
+    )
+    if not crowded:
+        return None
+    few = len(crowded) <= FILTERED_BUCKETS
+    counts = [
+        key_counts(df.where(key_bucket(df, key).isin(crowded)) if few else df, key) for df in (left, right)
+    ]
+    return hot_keys(*counts, key, null_safe, pairs_together)
+
+
 def key_join(
     left: DataFrame,
     right: DataFrame,
@@ -133,25 +174,21 @@ def key_join(
     how: str = "left",
     null_safe: bool = False,
     pairs_together: int = PAIRS_TOGETHER,
-    left_counts: DataFrame | None = None,
-    right_counts: DataFrame | None = None,
+    left_sketch: KeySketch | None = None,
+    right_sketch: KeySketch | None = None,
 ) -> DataFrame:
     """Join on one equally named key; columns other than the key must differ in name.
 
     ``how`` is left, inner, right or outer. Spark splits skewed partitions by size, and
-    never on a side that an outer join may fill with nulls. This one counts the keys of
-    both sides first, key columns only, and spreads every key with too many pairs over
-    salts on both sides, so that every pair still meets exactly once. ``left_counts`` and
-    ``right_counts`` give rows per key where they are known cheaper than by counting; the
-    keys they name must be on that side.
+    never on a side that an outer join may fill with nulls. This one looks at a sketch of
+    both sides' keys first and spreads every key with too many pairs over salts on both
+    sides, so that every pair still meets exactly once. A table's sketch may be given where
+    it is known; otherwise both sides are sketched in one pass over their keys. A sketch
+    that is off costs time, never rows.
     """
     if how not in ("left", "inner", "right", "outer"):
         raise ValueError(f"unknown join type: {how}")
-    hot = hot_keys(
-        key_counts(left, key) if left_counts is None else left_counts,
-        key_counts(right, key) if right_counts is None else right_counts,
-        key, null_safe, pairs_together,
-    )
+    hot = _counted_hot_keys(left, right, key, null_safe, pairs_together, left_sketch, right_sketch)
     if hot is None:
         return _plain(left, right, key, how, null_safe)
     a = _spread(left, key, hot, "left", "right")

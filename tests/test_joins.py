@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -5,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lendspark.operators import joins
+from lendspark.operators import joins, key_sketch
 
 KEYS = st.one_of(st.none(), st.integers(0, 4))
 SIDE = st.lists(st.tuples(KEYS, st.integers(0, 2)), max_size=25)
@@ -95,6 +96,40 @@ def test_unique_check(spark):
     with pytest.raises(ValueError, match="not unique"):
         joins.assert_unique(df, "k")
     assert joins.assert_unique(df.distinct(), "k").count() == 2
+    with pytest.raises(Exception, match="key k is not unique.*2"):
+        joins.enforced_unique(df, "k").collect()
+    assert sorted(r.k for r in joins.enforced_unique(df.distinct(), "k").collect()) == [1, 2]
+
+
+def test_sketches_find_heavy_keys(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(200_000),) for _ in range(100_000)] + [(7,)] * 900 + [(None,)] * 500
+    df = spark.createDataFrame(rows, "k INT")
+    made = key_sketch.sketches({"a": (df, "k"), "b": (df.selectExpr("cast(k as bigint) as k"), "k")})
+    for sketch in made.values():
+        assert sketch.most.sum() == len(rows)
+        heavy = {i: sketch.heavy[i] for i in sketch.heavy.nonzero()[0]}
+        assert len(heavy) == 2 and heavy.pop(key_sketch.BUCKETS) == 500
+        (bucket,) = heavy
+        assert 880 < heavy[bucket] <= 920
+    one = key_sketch.KeySketch.of_unique()
+    assert key_sketch.crowded_buckets(made["a"], one, 800) == [bucket]
+    assert key_sketch.crowded_buckets(one, made["b"], 450) == [bucket, key_sketch.BUCKETS]
+    assert key_sketch.crowded_buckets(made["a"], made["b"], 10**6) == []
+    assert key_sketch.crowded_buckets(made["a"], made["b"], 10**5, null_safe=True) == [bucket, key_sketch.BUCKETS]
+    twice = made["a"].joined(made["b"])
+    assert twice.heavy[bucket] > 700_000 and twice.heavy[key_sketch.BUCKETS] == 500
+    assert key_sketch.sketches({"e": (df.limit(0), "k")})["e"].most.sum() == 0
+
+
+def test_a_hot_key_among_many_is_spread(spark):
+    a = [(i, 0) for i in range(2000)] + [(5, i) for i in range(300)]
+    b = [(i, 1) for i in range(0, 2000, 3)] + [(5, i) for i in range(200)]
+    left, right = frame(spark, a, "x"), frame(spark, b, "y")
+    got = joins.key_join(left, right, "k", "outer", pairs_together=5000)
+    assert Counter(tuple(r) for r in got.collect()) == brute(a, b, "outer", False)
+    tasks = got.where("k = 5").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "right", "outer"])

@@ -1,10 +1,11 @@
+import uuid
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from lendspark.operators.enrich import BUREAU_CREDIT_COLUMNS
-from lendspark.plans import training
+from lendspark.plans import training, training_facts
 from lendspark.sources.schemas import APPLICATION_SCHEMA
 from tests.oracle import plan_text
 
@@ -86,8 +87,8 @@ def test_training_set_without_prior(spark):
 
 def test_repeated_application_is_refused(spark):
     twice = apps(spark, (100, "1", 0), (100, "2", 0))
-    with pytest.raises(ValueError, match="not unique"):
-        training.training_set(twice, credits(spark))
+    with pytest.raises(Exception, match="not unique"):
+        training.training_set(twice, credits(spark)).collect()
     assert training.training_set(twice, credits(spark), validate=False).count() == 4
 
 
@@ -98,7 +99,7 @@ def test_overlapping_columns_get_an_ending(spark):
 
 def test_full_width(spark):
     def empty(listing):
-        names = dict.fromkeys([*training.IDS, *training._renames(listing)])
+        names = dict.fromkeys([*training.IDS, *listing])
         return spark.createDataFrame([], ", ".join(f"{n} STRING" for n in names)).withColumns(
             {c: F.col(c).cast("int") for c in names if c in ("months_balance", "days_decision")}
         )
@@ -144,11 +145,78 @@ def test_snapshot_with_and_without_prior(spark, tmp_path, prior):
     assert spark.read.parquet(bare).columns == ["reco_id_curr", "income", "reco_bureau_id", "months_balance"]
 
 
-def test_counts_of_prior_loans(prior):
-    wide = training.prior_loans_wide(prior).where("reco_id_last <> 5")
+def test_reports_without_the_joined_frame(spark, prior):
+    """Counts from the parts equal those over the set, also where loans and children disagree."""
+    shared = "reco_id_last INT, reco_id_curr INT"
+    loans = [(i, o, -1, 1.0) for i, o in [(1, 100), (2, 100), (3, None), (4, 101), (4, 101), (None, 100), (6, 999)]]
+    odd = training.PriorLoans(
+        spark.createDataFrame(loans, shared + ", days_decision INT, loan_body DOUBLE"),
+        spark.createDataFrame(
+            [(1, 1, 0), (1, None, -1), (3, 100, 0), (3, 101, 0), (3, None, -2), (4, None, 0), (None, 100, 0)],
+            shared + ", months_balance INT",
+        ),
+        spark.createDataFrame([(3, 101, 0), (3, 103, -1), (4, 7, -3), (4, 8, -3)], shared + ", months_balance INT"),
+        spark.createDataFrame(
+            [(1, 100, None), (1, 100, 2), (2, 100, None), (3, 100, 1)], shared + ", number_of_instalment_ver INT"
+        ),
+    )
+    some = apps(spark, (100, "1", 0), (101, "2", 0), (103, "3", 0), (None, "4", 0), (104, "5", 0))
+    held = credits(spark).unionByName(
+        spark.createDataFrame([(103, None, 0, "x"), (100, None, 0, "y"), (None, 7, 0, "z"), (7, 8, 0, "w")], credits(spark).schema)
+    )
+    at = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    for loans in (prior, odd):
+        joined = training.training_set(some, held, loans)
+        assert training_facts.training_columns(some, held, loans) == joined.columns
+        assert training_facts.source_coverage(some, held, loans).collect() == training.source_coverage(joined).collect()
+        got = training_facts.training_summary(some, held, loans, at)
+        assert got.collect() == training.training_summary(joined, at).collect()
+    bare = training.training_set(some, held)
+    assert training_facts.training_summary(some, held, None, at).collect() == training.training_summary(bare, at).collect()
+    wide = training.prior_loans_wide(odd)
     want = {r.reco_id_curr: r["count"] for r in wide.groupBy("reco_id_curr").count().collect()}
-    got = {r.reco_id_curr: r.rows for r in training.prior_loan_counts(prior).collect()}
-    assert got == want
+    assert {r.reco_id_curr: r.prior_rows for r in training_facts.prior_loan_facts(odd).collect()} == want
+
+
+def test_summary_dates_from_the_parts(spark, monkeypatch):
+    dated = apps(spark, (100, "1", 0), (101, "2", 0)).withColumn(
+        "processing_date_app", F.lit("2025-03-01").cast("date") + F.col("reco_id_curr") - 100
+    )
+    monkeypatch.setattr(training_facts, "APPLICATION_COLUMNS", ["reco_id_curr", "processing_date_app"])
+    lines = training_facts.training_summary(dated, credits(spark), None, F.current_timestamp())
+    assert {r.metric: r.value for r in lines.collect()}["Date Range (Processing Date)"] == "2025-03-01 to 2025-03-02"
+
+
+def jobs_of(spark, build):
+    """Jobs that building a frame runs."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, "counted")
+    try:
+        frame = build()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return frame, context.statusTracker().getJobIdsForGroup(group)
+
+
+def test_few_jobs_before_the_frame(spark, prior):
+    some = apps(spark, (100, "1", 0), (101, "2", 0))
+    _, jobs = jobs_of(spark, lambda: training.training_set(some, credits(spark), prior))
+    assert len(jobs) < 8
+    _, jobs = jobs_of(spark, lambda: training.prior_loans_wide(prior))
+    assert len(jobs) < 4
+
+
+def test_unique_check_shares_the_joins_exchange(spark, tmp_path):
+    some, held = apps(spark, (100, "1", 0), (101, "2", 0)), credits(spark)
+    some.write.parquet(str(tmp_path / "a"))
+    held.write.parquet(str(tmp_path / "c"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a, c = (spark.read.parquet(str(tmp_path / n)) for n in "ac")
+        plan = training.applications_with_credits(a, c)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_hot_loans_and_applications(spark, prior, monkeypatch):
