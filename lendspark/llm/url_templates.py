@@ -111,10 +111,9 @@ def templates(leaves: DataFrame) -> DataFrame:
     """
     everywhere = leaves.agg(
         F.coalesce((F.sum("bad") + 0.5) / (F.sum("labelled") + 1.0), F.lit(0.5)).alias("above")
-    )
-    # One row; each host's purity starts from it.
-    hosts = leaves.groupBy("host").agg(*_sums()).join(F.broadcast(everywhere)).select(
-        "host", F.lit("").alias("template"), _purity(F.col("above")).alias("purity")
+    ).scalar()
+    hosts = leaves.groupBy("host").agg(*_sums()).select(
+        "host", F.lit("").alias("template"), _purity(everywhere).alias("purity")
     )
     tree = leaves.join(hosts, "host")
     for d in range(1, LEVELS + 1):
