@@ -8,7 +8,7 @@ from lendspark.catalog import roles
 from lendspark.catalog.cdc import LANDED_FIELDS, LANDED_SQL, landed
 from lendspark.catalog.registry import plain_numbers, query
 from lendspark.session import scratch_path
-from lendspark.sources import lake, text
+from lendspark.sources import lake, listing, text
 
 _written: dict[tuple[str, str], str] = {}
 
@@ -41,7 +41,7 @@ def scan_all_partitions(spark, sf):
     ),
 )
 def scan_latest_partition(spark, sf):
-    return lake.scan_latest(scan(spark, sf)).select(*LANDED_FIELDS)
+    return listing.newest(spark, lake_table(spark, sf), landed(spark, sf).schema).select(*LANDED_FIELDS)
 
 
 @query(
@@ -62,7 +62,7 @@ def scan_date_partition(spark, sf):
     ),
 )
 def list_partitions(spark, sf):
-    return lake.list_partitions(scan(spark, sf))
+    return listing.partitions(spark, lake_table(spark, sf))
 
 
 @query(
@@ -76,11 +76,43 @@ def list_partitions(spark, sf):
     ),
 )
 def scan_files_metadata(spark, sf):
-    return lake.file_inventory(scan(spark, sf)).groupBy("partition_path").agg(
+    schema = landed(spark, sf).drop(*lake.DATE_PARTS).schema
+    return listing.inventory(spark, lake_table(spark, sf), schema).groupBy("partition_path").agg(
         F.sum("rows").alias("rows"), (F.sum("file_size") > 0).alias("has_bytes")
     )
 
 
+_DAYS = """SELECT 'year=' || year(ts) || '/month=' || month(ts) || '/day=' || day(ts) AS partition_path, {more}
+        FROM cdc WHERE cdc_operation <> 'd' GROUP BY 1"""
+
+
+@query("lake_write", roles.sql(_DAYS.format(more="count(*) AS rows, true AS within_limit"), "cdc", "found"))
+def lake_write(spark, sf):
+    """Write the landed applications by day; rows per partition, and whether their files are few."""
+    path = scratch_path(spark, "applications")
+    lake.write_partitioned(landed(spark, sf), path)
+    schema = landed(spark, sf).drop(*lake.DATE_PARTS).schema
+    return listing.inventory(spark, path, schema).groupBy("partition_path").agg(
+        F.sum("rows").alias("rows"), (F.count(F.lit(1)) <= 8).alias("within_limit")
+    )
+
+
+@query(
+    "rejected_files",
+    roles.sql(_DAYS.format(more="'not a Parquet file' AS reason, CAST(0 AS BIGINT) AS rows_read"), "cdc"),
+)
+def rejected_files(spark, sf):
+    """A lake with a damaged file in every day's folder: texts of the day's events under a data file's name."""
+    path, texts = scratch_path(spark, "applications"), scratch_path(spark, "texts")
+    lake.write_partitioned(landed(spark, sf), path)
+    events = landed(spark, sf).select(F.col("kafka_offset").cast("string").alias("value"), *lake.DATE_PARTS)
+    events.repartition(*lake.DATE_PARTS).write.partitionBy(*lake.DATE_PARTS).text(texts)
+    listing.move_files(spark, texts, path, "*.txt", ".parquet")
+    schema = landed(spark, sf).drop(*lake.DATE_PARTS).schema
+    part = F.regexp_extract("file_path", r"/(year=\d+/month=\d+/day=\d+)/", 1)
+    return listing.rejected(spark, path, schema).select(part.alias("partition_path"), "reason", "rows_read")
+
+
 @query(
     "snapshot_roundtrip",
     roles.sql(

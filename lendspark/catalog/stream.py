@@ -5,15 +5,35 @@ from pyspark.sql import functions as F
 from lendspark.catalog import roles
 from lendspark.catalog.cdc import LANDED_FIELDS, LANDED_SQL
 from lendspark.catalog.registry import plain_numbers, query
+from lendspark.catalog.training import CURRENT_SQL
 from lendspark.session import scratch_path
+from lendspark.operators import cdc
+from lendspark.plans import training
+from lendspark.operators.enrich import bureau_credits
+from lendspark.sources.keyed import KeyedTable, write_keyed
 from lendspark.sources.lake import scan_all
 from lendspark.sources.streams import read_files
-from lendspark.streaming import ingest, progress
+from lendspark.streaming import commits, ingest, progress, state
 
 # Time of run, a parameter so that results repeat.
 PROCESSED_AT = "2024-02-01 06:00:00"
 
+# Buckets of the bureau tables and of the state.
+BUCKETS = 16
+
 _runs: dict[tuple[str, str], tuple] = {}
+_bureau: dict[tuple[str, str], tuple[KeyedTable, KeyedTable]] = {}
+
+
+def keyed_bureau(spark, sf) -> tuple[KeyedTable, KeyedTable]:
+    """Both bureau tables laid out by their key, once per session and scale factor."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _bureau:
+        _bureau[key] = (
+            write_keyed(roles.bki(spark, sf), scratch_path(spark, "bki"), "reco_id_curr", BUCKETS),
+            write_keyed(roles.balance(spark, sf), scratch_path(spark, "balance"), "reco_bureau_id", BUCKETS),
+        )
+    return _bureau[key]
 
 
 def run_ingest(spark, sf, path=None):
@@ -27,7 +47,7 @@ def run_ingest(spark, sf, path=None):
     records = roles.broker_records(source)
     tables = ingest.LakeTables.under(scratch_path(spark, "ingest"))
     stream = ingest.start_ingest(
-        records, roles.bki(spark, sf), roles.balance(spark, sf), tables,
+        records, *keyed_bureau(spark, sf), tables,
         trigger={"availableNow": True}, at=F.lit(PROCESSED_AT).cast("timestamp"),
     )
     stream.awaitTermination()
@@ -66,22 +86,6 @@ def stream_bureau_credits(spark, sf):
     )
 
 
-@query(
-    "batch_summary",
-    roles.sql(
-        """SELECT count(*) AS applications, CAST(sum(f.n) AS BIGINT) AS credits,
-                  CAST(sum(f.n) AS DOUBLE) / count(*) AS credits_per_application
-        FROM cdc LEFT JOIN found f ON user_id = f.reco_id_curr WHERE cdc_operation <> 'd'""",
-        "cdc", "found",
-    ),
-)
-def batch_summary(spark, sf):
-    tables, _ = last_run(spark, sf)
-    return ingest.batch_summary(
-        scan_all(spark, tables.applications), scan_all(spark, tables.bureau_credits)
-    ).select("applications", "credits", "credits_per_application")
-
-
 @query(
     "batch_preview",
     roles.sql(
@@ -106,9 +110,45 @@ def stream_progress(spark, sf):
     return progress.progress_rows(spark, tables.progress).select("batch_id", "input_rows")
 
 
+@query(
+    "bureau_layout",
+    roles.sql(
+        """SELECT reco_id_curr, count(*) AS credits FROM bki
+           WHERE reco_id_curr IN (SELECT user_id FROM cdc WHERE kafka_offset % 50 = 7 OR cdc_operation = 'c')
+           GROUP BY 1""",
+        "bki", "cdc",
+    ),
+)
+def bureau_layout(spark, sf):
+    """The bureau's credits laid out by applicant, and those of a batch's applicants read back."""
+    laid_out = write_keyed(roles.bki(spark, sf), scratch_path(spark, "bki"), "reco_id_curr", BUCKETS)
+    events = roles.table(spark, sf, "events")
+    batch = events.where((F.col("event_id") % 50 == 7) | (F.col("event_type") == "signup"))
+    found = laid_out.of_keys(batch, "user_id")
+    return found.groupBy("reco_id_curr").agg(F.count(F.lit(1)).alias("credits"))
+
+
 BATCHES = 4
 
 
+_several: dict[tuple[str, str], ingest.LakeTables] = {}
+
+
+def run_batches(spark, sf) -> ingest.LakeTables:
+    """All events, dealt into several files, one per batch."""
+    events = roles.table(spark, sf, "events")
+    path = scratch_path(spark, "events")
+    dealt = events.withColumn("file", F.col("event_id") % BATCHES).repartition("file")
+    dealt.write.partitionBy("file").parquet(path)
+    tables, _ = run_ingest(spark, sf, path)
+    _several[(spark.sparkContext.applicationId, sf)] = tables
+    return tables
+
+
+def last_batches(spark, sf) -> ingest.LakeTables:
+    return _several.get((spark.sparkContext.applicationId, sf)) or run_batches(spark, sf)
+
+
 @query(
     "stream_batches",
     roles.sql(
@@ -120,10 +160,55 @@ BATCHES = 4
     ),
 )
 def stream_batches(spark, sf):
-    """All events, dealt into several files, one per batch; a progress line for each."""
-    events = roles.table(spark, sf, "events")
-    path = scratch_path(spark, "events")
-    dealt = events.withColumn("file", F.col("event_id") % BATCHES).repartition("file")
-    dealt.write.partitionBy("file").parquet(path)
-    tables, _ = run_ingest(spark, sf, path)
+    """A progress line for each batch."""
+    tables = run_batches(spark, sf)
     return progress.progress_rows(spark, tables.progress).select("input_rows", "applications", "credits")
+
+
+@query(
+    "batch_summary",
+    roles.sql(
+        f"""SELECT count(*) AS applications, CAST(COALESCE(sum(f.n), 0) AS BIGINT) AS credits,
+                   CAST(COALESCE(sum(f.n), 0) AS DOUBLE) / count(*) AS credits_per_application
+        FROM cdc LEFT JOIN found f ON user_id = f.reco_id_curr
+        WHERE cdc_operation <> 'd' GROUP BY kafka_offset % {BATCHES}""",
+        "cdc", "found",
+    ),
+)
+def batch_summary(spark, sf):
+    """A row per batch, counted from the landed tables."""
+    tables = last_batches(spark, sf)
+    return ingest.batch_summary(
+        scan_all(spark, tables.applications), scan_all(spark, tables.bureau_credits)
+    ).select("applications", "credits", "credits_per_application")
+
+
+@query(
+    "scan_committed",
+    roles.sql(LANDED_SQL.format(at=f"TIMESTAMP '{PROCESSED_AT}'", more=""), "cdc", "found"),
+)
+def scan_committed(spark, sf):
+    """Committed batches after a compaction; a batch that landed without its commit is not seen."""
+    tables = run_batches(spark, sf)
+    commits.compact(spark, tables)
+    events = cdc.keep_row_events(cdc.parse_events(roles.broker_records(roles.table(spark, sf, "events"))))
+    at = F.lit(PROCESSED_AT).cast("timestamp")
+    ingest.land_batch(events, "query_id=unfinished/batch_id=0", *keyed_bureau(spark, sf), tables, at)
+    return commits.scan_committed(spark, tables, "applications").select(*LANDED_FIELDS)
+
+
+@query(
+    "training_set_from_lake",
+    roles.sql(CURRENT_SQL, "cdc", "credits", "prior"),
+)
+def training_set_from_lake(spark, sf):
+    """The training set over the state that is kept from landed rows and tombstones."""
+    tables = last_batches(spark, sf)
+    state.refresh(spark, tables, BUCKETS)
+    current = cdc.typed_applications(
+        state.current(spark, tables.state).select(
+            "reco_id_curr", "target", "contract_type_name", "income", "hour_of_approval_process_start"
+        )
+    )
+    credits = bureau_credits(current, roles.bki(spark, sf), roles.balance(spark, sf))
+    return plain_numbers(training.training_set(current, credits, roles.prior_loans(spark, sf)))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lendspark.functions.lookup import lookup_columns
 from lendspark.operators.bureau import credit_balances
-from lendspark.operators.joins import narrowed
 from lendspark.sources.schemas import CREDIT_COLUMNS
 
 # Credits one array may hold; an application with more gets several arrays.
@@ -54,14 +53,6 @@ def bureau_credits(applications: DataFrame, bki: DataFrame, balance: DataFrame)
     return applications.select("reco_id_curr").join(credits, "reco_id_curr").select(*columns)
 
 
-def of_batch(
-    applications: DataFrame, bki: DataFrame, balance: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Both bureau tables narrowed to the applications of a batch."""
-    known = narrowed(bki, applications, "reco_id_curr")
-    return known, narrowed(balance, known, "reco_bureau_id")
-
-
 def credit_arrays(
     bki: DataFrame, balance: DataFrame, max_items: int = ARRAY_ITEMS
 ) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lendspark.functions.columns import share_of
 from lendspark.functions.lookup import quality_score
-from lendspark.operators.cdc import keep_row_events, parse_events
-from lendspark.operators.enrich import bureau_credits, enrich, of_batch
+from lendspark.operators.cdc import EVENT_COLUMNS, KEPT_OPERATIONS, keep_row_events, parse_events
+from lendspark.operators.enrich import bureau_credits, enrich
+from lendspark.sources.keyed import KeyedTable, rows_of
 from lendspark.sources.lake import with_date_parts, write_partitioned
 
 log = logging.getLogger(__name__)
@@ -35,17 +36,20 @@ PREVIEW_ROWS = 5
 
 @dataclass(frozen=True)
 class LakeTables:
-    """Roots of the landed tables and the checkpoint."""
+    """Roots of the landed tables, what is made of them, and the checkpoint."""
 
     applications: str
     bureau_credits: str
     checkpoint: str
     progress: str
+    deletes: str
+    compacted: str
+    state: str
 
     @staticmethod
     def under(root: str) -> LakeTables:
         root = root.rstrip("/")
-        names = ("applications", "bureau_credits", "checkpoint", "progress")
+        names = ("applications", "bureau_credits", "checkpoint", "progress", "deletes", "compacted", "state")
         return LakeTables(*(f"{root}/{name}" for name in names))
 
 
@@ -99,41 +103,66 @@ def _write_progress(
     line.coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def of_batch(
+    batch: DataFrame, bki: DataFrame | KeyedTable, balance: DataFrame | KeyedTable
+) -> tuple[DataFrame, DataFrame]:
+    """Both bureau tables narrowed to the applications of a batch.
+
+    Tables laid out by their key, applications' ids and credits' ids, are read in the
+    buckets that the batch touches.
+    """
+    known = rows_of(bki, batch, "reco_id_curr").persist(StorageLevel.MEMORY_AND_DISK)
+    return known, rows_of(balance, known, "reco_bureau_id").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def land_batch(
     batch: DataFrame,
     folder: str,
-    bki: DataFrame,
-    balance: DataFrame,
+    bki: DataFrame | KeyedTable,
+    balance: DataFrame | KeyedTable,
     tables: LakeTables,
     at: Column,
 ) -> tuple[int, int] | None:
     """Land row events in ``folder`` of both tables; their row counts, or None if empty.
 
-    Running it again replaces what it wrote. Credits go first: an application that is
-    visible has its credits.
+    Running it again replaces what it wrote. Each bureau table is read once, in the part
+    that the batch needs.
     """
-    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    held = [batch.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         n_events = batch.count()
         if n_events == 0:
             return None
-        bki, balance = of_batch(batch, bki, balance)
-        credits = land_credits(bureau_credits(batch, bki, balance), at)
+        known, months = of_batch(batch, bki, balance)
+        held += [known, months]
+        credits = land_credits(bureau_credits(batch, known, months), at)
         credits_folder = f"{tables.bureau_credits}/{folder}"
         _write(credits, credits_folder)
         # Parquet footers tell how many rows there are; a batch may have none.
         n_credits = batch.sparkSession.read.schema(credits.schema).parquet(credits_folder).count()
-        applications = land_applications(enrich(batch, bki, balance, F.unix_millis(at)), at)
+        applications = land_applications(enrich(batch, known, months, F.unix_millis(at)), at)
         _write(applications, f"{tables.applications}/{folder}")
         return n_events, n_credits
     finally:
-        batch.unpersist()
+        for frame in held:
+            frame.unpersist()
+
+
+def tombstones(events: DataFrame) -> DataFrame:
+    """Key and event columns of the deletes, without a row image."""
+    gone = F.col("cdc_operation").isNotNull() & ~F.col("cdc_operation").isin(*KEPT_OPERATIONS)
+    return events.where(gone).select("reco_id_curr", *EVENT_COLUMNS)
+
+
+def land_tombstones(events: DataFrame, folder: str, tables: LakeTables, at: Column) -> None:
+    """Land the deletes of a batch; running it again replaces them."""
+    _write(_stamped(tombstones(events), at), f"{tables.deletes}/{folder}")
 
 
 def start_ingest(
     records: DataFrame,
-    bki: DataFrame,
-    balance: DataFrame,
+    bki: DataFrame | KeyedTable,
+    balance: DataFrame | KeyedTable,
     tables: LakeTables,
     trigger: dict | None = None,
     at: Column | None = None,
@@ -142,9 +171,10 @@ def start_ingest(
     """Parse, enrich and land broker records.
 
     Each batch owns the folder ``<table>/query_id=<id>/batch_id=<n>``, so a replay after a
-    failure, even on another day, leaves no duplicates. ``trigger`` takes the keywords of
+    failure, even on another day, leaves no duplicates. Its line of the progress table
+    commits it, see ``streaming.commits``. ``trigger`` takes the keywords of
     ``DataStreamWriter.trigger``. ``at`` is a constant processing time; by default each
-    batch takes the time of its start, the same for both tables.
+    batch takes the time of its start, the same for all tables.
     """
     def land(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -152,8 +182,11 @@ def start_ingest(
         started = F.lit(datetime.now(timezone.utc)) if at is None else at
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            input_rows = batch.count()
+            deleted = F.count(F.when(~F.col("cdc_operation").isin(*KEPT_OPERATIONS), 1))
+            input_rows, n_deleted = batch.agg(F.count(F.lit(1)), deleted).first()
             landed = land_batch(keep_row_events(batch), folder, bki, balance, tables, started)
+            if n_deleted:
+                land_tombstones(batch, folder, tables, started)
         finally:
             batch.unpersist()
         if input_rows:

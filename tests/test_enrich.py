@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendspark.functions.lookup import quality_score
+from lendspark.streaming import ingest
 from lendspark.operators import enrich, joins
 from tests.oracle import plan_text
 
@@ -78,7 +79,7 @@ def test_narrowing_keeps_the_result(apps, bki, balance, pushed):
 
 def test_small_batch_filters_the_bureau_scan(spark, tmp_path, apps, bki, balance):
     bki.write.parquet(str(tmp_path / "bki"))
-    few, _ = enrich.of_batch(apps, spark.read.parquet(str(tmp_path / "bki")), balance)
+    few, _ = ingest.of_batch(apps, spark.read.parquet(str(tmp_path / "bki")), balance)
     assert "PushedFilters: [In(reco_id_curr, [1,2,3])]" in plan_text(few)
 
 

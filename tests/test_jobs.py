@@ -1,9 +1,6 @@
-from pyspark.sql import functions as F
-
 from lendspark.__main__ import main, parser
 from lendspark.operators import split
-from lendspark.streaming import ingest
-from tests.test_stream import at, world, write_records  # noqa: F401
+from tests.test_stream import drain, world, write_records  # noqa: F401
 
 
 def test_split_job(spark, tmp_path):
@@ -14,15 +11,12 @@ def test_split_job(spark, tmp_path):
 
 
 def test_training_job(spark, world, tmp_path, capsys):  # noqa: F811
-    from lendspark.operators import cdc
-
     folder, bki, balance, tables = world
-    bki.write.parquet(str(tmp_path / "bki"))
+    bki.write.parquet(str(tmp_path / "plain-bki"))
     balance.write.parquet(str(tmp_path / "balance"))
-    write_records(spark, folder, [("c", 3)], 40)
-    batch = cdc.keep_row_events(cdc.parse_events(spark.read.parquet(folder)))
-    batch = batch.where(F.col("reco_id_curr").isNotNull())
-    ingest.land_batch(batch, "query_id=q/batch_id=0", bki, balance, tables, at())
+    main(["layout", "--input", str(tmp_path / "plain-bki"), "--out", str(tmp_path / "bki"), "--key", "reco_id_curr", "--buckets", "4"])
+    write_records(spark, folder, [("c", 3), ("c", 1)], 40)
+    drain(spark, world)
     main([
         "training", "--lake", tables.applications.removesuffix("/applications"),
         "--bki", str(tmp_path / "bki"), "--balance", str(tmp_path / "balance"),
@@ -31,8 +25,11 @@ def test_training_job(spark, world, tmp_path, capsys):  # noqa: F811
     target = capsys.readouterr().out.strip().splitlines()[-1]
     rows = spark.read.parquet(target)
     assert len(rows.columns) == 122 + 4  # no prior loans: the database is away
-    # Two versions of application 1 were landed; the snapshot holds the last, two credits.
-    assert sorted(r.reco_id_curr for r in rows.collect()) == [1, 1, 2, 3]
+    # Application 1 was deleted and created again, with its two credits; one event has no key.
+    assert sorted(map(str, (r.reco_id_curr for r in rows.collect()))) == ["1", "1", "2", "3", "None"]
+    lake = tables.applications.removesuffix("/applications")
+    main(["compact", "--lake", lake])
+    assert capsys.readouterr().out.strip().splitlines()[-1] == "1"
 
 
 def test_ingest_options():
