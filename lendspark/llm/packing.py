@@ -25,6 +25,8 @@ WINDOW = 2048
 ENCODE_AT_ONCE = 20_000
 OTHERS_AT_ONCE = 2_000
 ENCODE_BYTES = 2 << 20
+KNOWN_STEMS = 1 << 19
+"""Distinct words that a task keeps encoded; beyond them it begins anew, which costs time only."""
 MARKS = (".", ",")
 
 TOKENS = "doc_id {id}, part int, local long, n_tokens long, ids binary"
@@ -44,10 +46,11 @@ class WordEncoder:
     """Ids of texts by their words.
 
     The tokenizer treats white space as a border, so a text's ids are those of its words
-    in order, and each distinct word of a batch is encoded once. ASCII words differ by
-    case only before the tokenizer, and a final mark after a letter is a token of its
-    own; both are split off first, as this leaves fewer distinct words. Words of letters
-    alone are encoded many at a time: each ends at the next id whose entry closes a word.
+    in order, and each distinct word is encoded once while a bounded table holds it. ASCII
+    words differ by case only before the tokenizer, and a final mark after a letter is a
+    token of its own; both are split off first, as this leaves fewer distinct words. Words
+    of letters alone are encoded many at a time: each ends at the next id whose entry
+    closes a word.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -61,6 +64,10 @@ class WordEncoder:
         for entry, i in self.model.get_vocab().items():
             self.closes[i] = entry.endswith("</w>")
         self.marks = [self.model.encode(m, add_special_tokens=False).ids for m in MARKS]
+        # Words encoded so far, and where their ids lie.
+        self.stems = pa.array([], pa.string())
+        self.ids = np.zeros(0, np.int32)
+        self.lengths, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number for words of letters alone."""
@@ -83,6 +90,33 @@ class WordEncoder:
         lengths = np.array([len(x) for x in found], np.int64)
         return np.array([i for x in found for i in x], np.int64), lengths
 
+    def _encode(self, stems: pa.Array) -> np.ndarray:
+        """Add new words to the table; their places in it."""
+        letters = pc.match_substring_regex(stems, r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$")
+        letters = letters.to_numpy(zero_copy_only=False)
+        place = np.zeros(len(stems), np.int64)
+        for chosen, encode in ((letters, self._plain), (~letters, self._other)):
+            if chosen.any():
+                some = stems.filter(pa.array(chosen))
+                flat, length = encode(some)
+                place[chosen] = len(self.stems) + np.arange(len(some))
+                self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(length) - length])
+                self.lengths = np.concatenate([self.lengths, length])
+                self.ids = np.concatenate([self.ids, flat.astype(np.int32)])
+                self.stems = pa.concat_arrays([self.stems, some])
+        return place
+
+    def _places(self, stems: pa.Array) -> np.ndarray:
+        """Where in the table each of the distinct words is; new ones are encoded first."""
+        if len(self.stems) + len(stems) > KNOWN_STEMS:
+            self.stems, self.ids = self.stems[:0], self.ids[:0]
+            self.lengths, self.starts = self.lengths[:0], self.starts[:0]
+        known = pc.index_in(stems, value_set=self.stems)
+        new = pc.is_null(known)
+        place = pc.fill_null(known, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[new.to_numpy(zero_copy_only=False)] = self._encode(stems.filter(new))
+        return place
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts with the end id after each, and how many each has."""
         words, rows = words_of(texts)
@@ -96,21 +130,13 @@ class WordEncoder:
             stems = pc.if_else(pa.array(at), pc.utf8_slice_codeunits(stems, 0, -1), stems)
         stems = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
         stem_codes, stems = coded(stems)
-        letters = pc.match_substring_regex(stems, r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$").to_numpy(zero_copy_only=False)
-        ids, lengths, starts = [], np.zeros(len(stems), np.int64), np.zeros(len(stems), np.int64)
-        base = 0
-        for chosen, encode in ((letters, self._plain), (~letters, self._other)):
-            if chosen.any():
-                flat, length = encode(stems.filter(pa.array(chosen)))
-                lengths[chosen] = length
-                starts[chosen] = base + np.cumsum(length) - length
-                ids.append(flat)
-                base += len(flat)
+        place = self._places(stems)
         # After the words' own ids: the end id, then the marks.
         extra = [[self.end_id], *self.marks]
-        ids = np.concatenate([*ids, *(np.asarray(x, np.int64) for x in extra)])
-        lengths = np.concatenate([lengths, [len(x) for x in extra]])
-        starts = np.concatenate([starts, base + np.cumsum([0, *map(len, extra[:-1])])])
+        base = len(self.ids)
+        ids = np.concatenate([self.ids, *(np.asarray(x, np.int32) for x in extra)])
+        lengths = np.concatenate([self.lengths[place], [len(x) for x in extra]])
+        starts = np.concatenate([self.starts[place], base + np.cumsum([0, *map(len, extra[:-1])])])
         # The stream of entries: each word's stem, then its mark; after each text the end.
         word_mark = mark[codes]
         marked = np.flatnonzero(word_mark) + 1
