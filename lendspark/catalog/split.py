@@ -205,9 +205,45 @@ def model_frame(spark, sf):
     return roles.applications(spark, sf).drop("income").join(totals, "reco_id_curr", "left")
 
 
-@query("ml_toy_scores")
+@query(
+    "ml_toy_scores",
+    roles.sql(
+        f"""
+        , totals AS (
+            SELECT reco_id_curr, count(DISTINCT reco_bureau_id) AS total_credits FROM bki GROUP BY 1),
+        complete AS (
+            SELECT a.reco_id_curr, a.target FROM applications a JOIN totals USING (reco_id_curr)
+            WHERE a.contract_type_name IS NOT NULL AND a.rating_client_region IS NOT NULL),
+        c AS (SELECT target AS label, count(*) AS n FROM complete GROUP BY 1),
+        t AS (SELECT sum(n)::BIGINT AS n, sum(n)::BIGINT - CAST(ceil(sum(n) * 2 / 10.0) AS BIGINT) AS m FROM c),
+        q AS (SELECT label, c.n * t.m // t.n AS base, c.n * t.m % t.n AS rest FROM c, t),
+        quota AS (
+            SELECT label, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, label)
+                <= (SELECT m FROM t) - (SELECT sum(base) FROM q) THEN 1 ELSE 0 END AS quota FROM q),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY target
+                ORDER BY md5('{SEED}:' || reco_id_curr), reco_id_curr) AS place FROM complete)
+        SELECT reco_id_curr, target, true AS in_range, true AS follows_score
+        FROM placed JOIN quota ON target = label WHERE place > quota""",
+        "applications", "bki",
+    ),
+)
 def ml_toy_scores(spark, sf):
-    """Scores of the held-out complete rows after training on the others."""
+    """Held-out complete rows scored after training on the others.
+
+    A fitted score is no SQL expression, so the check covers which rows are scored, and that
+    scores are probabilities which the predictions follow.
+    """
+    scored = toy_scores(spark, sf)
+    return scored.select(
+        *IDS, "target", F.col("score").between(0, 1).alias("in_range"),
+        (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("follows_score"),
+    )
+
+
+@query("ml_toy_probabilities")
+def toy_scores(spark, sf):
+    """The scores themselves."""
     frame = model.drop_incomplete(model_frame(spark, sf))
     table = scratch_path(spark, "model-split")
     split.stratified_split(frame, "target", IDS, test_size=0.2, seed=SEED).write.parquet(table)

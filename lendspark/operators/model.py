@@ -7,13 +7,17 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.functions.columns import numeric_columns, text_columns
+from lendspark.operators.ordering import numbered
+from lendspark.session import scratch_path
 
+# Values of a text column that may become features.
+MOST_CATEGORIES = 1_000_000
 # Iterations, inverse penalty and tolerance of the regression.
 MAX_ITERATIONS, INVERSE_PENALTY, TOLERANCE = 1000, 1.0, 1e-6
 
@@ -60,24 +64,47 @@ class FeatureColumns:
         return FeatureColumns(text_columns(rest), numeric_columns(rest))
 
 
-def feature_stages(train: DataFrame, columns: FeatureColumns) -> list:
+def dictionary(df: DataFrame, column: str, folder: str) -> str:
+    """Write a column's values with their number in alphabetical order; where they are.
+
+    The values are numbered by a distributed sort and stay in the shared folder, so none
+    reaches the driver. A column with more than ``MOST_CATEGORIES`` is an error.
+    """
+    values = df.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
+    if values.limit(MOST_CATEGORIES + 1).count() > MOST_CATEGORIES:
+        raise ValueError(f"{column} has more than {MOST_CATEGORIES} values: leave it out or group them")
+    path = f"{folder.rstrip('/')}/{column}"
+    numbered(values, [F.col("value")], "place").write.mode("overwrite").parquet(path)
+    return path
+
+
+def feature_stages(train: DataFrame, columns: FeatureColumns, folder: str | None = None) -> list:
     """Stages that encode text one-hot and standardize numbers into ``features``.
 
     Categories are in alphabetical order; one that training did not see has no entry.
+    Their dictionaries are written to ``folder``, by default a new one in the shared folder;
+    a saved model reads them there, so give a lasting one with it.
     """
+    spark = train.sparkSession
+    folder = folder or scratch_path(spark, "dictionaries")
     stages: list = []
     if columns.text:
-        indexed = [f"{c}__index" for c in columns.text]
-        hot = [f"{c}__hot" for c in columns.text]
-        stages += [
-            StringIndexer(
-                inputCols=columns.text, outputCols=indexed,
-                stringOrderType="alphabetAsc", handleInvalid="keep",
-            ),
-            # The indexer keeps one extra index for unseen values; dropping the last
-            # category encodes it as all zeros.
-            OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-        ]
+        paths = {c: dictionary(train, c, folder) for c in columns.text}
+        joins, places = [], []
+        for i, (c, path) in enumerate(paths.items()):
+            # An unseen or missing value takes the place after the last, which the encoder,
+            # told to keep and then drop that place, encodes as all zeros.
+            size = spark.read.parquet(path).count()
+            joins.append(f"LEFT JOIN parquet.`{path}` d{i} ON t.`{c}` = d{i}.value")
+            places.append(f"CAST(coalesce(d{i}.place, {size}) AS DOUBLE) AS `{c}__index`")
+        statement = f"SELECT t.*, {', '.join(places)} FROM __THIS__ t {' '.join(joins)}"
+        stages.append(SQLTransformer(statement=statement))
+        stages.append(
+            OneHotEncoder(
+                inputCols=[f"{c}__index" for c in columns.text], outputCols=[f"{c}__hot" for c in columns.text],
+                dropLast=True, handleInvalid="keep",
+            )
+        )
     facts = scaling(train, columns.numeric)
     if facts:
         scaled = ", ".join(

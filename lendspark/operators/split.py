@@ -32,8 +32,11 @@ METADATA_DDL = """
 # Classes whose edge bucket, a few dozen bytes each, may be broadcast.
 BROADCAST_CLASSES = 100_000
 
-# Digits of the row hash that form a bucket: 16 ** 4 of them per class.
+# Digits of the row hash that a pass adds to a bucket: 16 ** 4 buckets each.
 BUCKET_DIGITS = 4
+# Rows of a class that one task ranks; an edge bucket with more is split further.
+EDGE_ROWS = 1_000_000
+HASH_DIGITS = 32
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -96,17 +99,19 @@ def stratified_split(
 
     Every class sends its rows with the smallest hashes to training, so a split is known
     by the last training row of each class. Row counts per (class, hash prefix) tell which
-    bucket holds it, and only that bucket is ranked: no task sorts a whole class, and the
-    full rows are read once, without a shuffle. ``id_columns`` must identify a row. Rows
+    bucket holds it; while such an edge bucket holds too many rows, it alone is counted by
+    longer prefixes. The last bucket is ranked: no task sorts a whole class, and the full
+    rows are read once, without a shuffle. ``id_columns`` must identify a row: where equal
+    ids lie on both sides of the border, or fill a bucket, the split is an error. Rows
     without a label, which have no class, are an error, as is a class of one row.
     """
     require_columns(df, label, *id_columns)
     ensure_checkpoint_dir(df.sparkSession)
     hashed = df.withColumn("_hash", row_hash(seed, id_columns))
-    bucket = F.conv(F.substring("_hash", 1, BUCKET_DIGITS), 16, 10).cast("int")
-    keys = hashed.select(F.col(label).alias("_class"), "_hash", *id_columns, bucket.alias("_bucket"))
+    digits = BUCKET_DIGITS
+    keys = hashed.select(F.col(label).alias("_class"), "_hash", *id_columns)
     # Read several times below and small next to the data: at most 16 ** 4 rows per class.
-    buckets = keys.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    buckets = _bucket_counts(keys, digits).checkpoint()
     counts = buckets.groupBy("_class").agg(F.sum("n").alias("rows"))
     facts = counts.agg(
         F.sum("rows").alias("rows"),
@@ -117,30 +122,53 @@ def stratified_split(
     if facts.unlabelled or (facts.smallest or 0) < 2:
         raise ValueError("every row needs a label and every class at least two rows")
     n_train = train_size(facts.rows, train_ratio, test_size)
+    few = facts.classes <= BROADCAST_CLASSES
 
     quotas = class_quotas(counts, "_class", facts.rows, n_train)
-    before = F.sum("n").over(Window.partitionBy("_class").orderBy("_bucket")) - F.col("n")
-    edges = (
-        buckets.withColumn("_before", before)
-        .join(quotas, "_class")
-        .where((F.col("_before") < F.col("quota")) & (F.col("quota") <= F.col("_before") + F.col("n")))
-        .select("_class", "_bucket", (F.col("quota") - F.col("_before")).alias("_take"))
-    )
-    few = facts.classes <= BROADCAST_CLASSES
-    place = F.row_number().over(Window.partitionBy("_class").orderBy("_hash", *id_columns))
+    edges = _edges(buckets, quotas.select("_class", F.col("quota").alias("_take"))).checkpoint()
+    while (edges.agg(F.max("n")).first()[0] or 0) > EDGE_ROWS:
+        digits += BUCKET_DIGITS
+        if digits > HASH_DIGITS:
+            raise ValueError(f"{', '.join(id_columns)} repeat too often to identify rows")
+        # Only the edge buckets are counted again; a small one is cut further at no cost.
+        inside = keys.withColumn("_bucket", F.substring("_hash", 1, digits - BUCKET_DIGITS)).join(
+            F.broadcast(edges) if few else edges, ["_class", "_bucket"]
+        )
+        takes = edges.select("_class", "_take")
+        edges = _edges(_bucket_counts(inside, digits), takes).checkpoint()
+    row = F.struct("_hash", *id_columns)
+    order = Window.partitionBy("_class").orderBy("_hash", *id_columns)
+    message = F.lit(f"{', '.join(id_columns)} do not identify rows: equal ones lie on both sides of a split")
     last_rows = (
-        keys.join(F.broadcast(edges) if few else edges, ["_class", "_bucket"])
-        .withColumn("_place", place)
+        keys.withColumn("_bucket", F.substring("_hash", 1, digits))
+        .join(F.broadcast(edges) if few else edges, ["_class", "_bucket"])
+        .select("_class", "_take", row.alias("_last"), F.row_number().over(order).alias("_place"), F.lead(row).over(order).alias("_next"))
         .where(F.col("_place") == F.col("_take"))
-        .select("_class", F.struct("_hash", *id_columns).alias("_last"))
+        .where(F.assert_true(F.coalesce(F.col("_last") != F.col("_next"), F.lit(True)), message).isNull())
+        .select("_class", "_last")
     )
     # A class with no training row has no last one.
-    is_train = F.coalesce(F.struct("_hash", *id_columns) <= F.col("_last"), F.lit(False))
+    is_train = F.coalesce(row <= F.col("_last"), F.lit(False))
     return hashed.join(
         F.broadcast(last_rows) if few else last_rows, F.col(label) == F.col("_class"), "left"
     ).select(*df.columns, F.when(is_train, TRAIN).otherwise(SIMULATION).alias(part))
 
 
+def _bucket_counts(keys: DataFrame, digits: int) -> DataFrame:
+    """Rows per class and hash prefix."""
+    prefix = F.substring("_hash", 1, digits)
+    return keys.groupBy("_class", prefix.alias("_bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _edges(buckets: DataFrame, takes: DataFrame) -> DataFrame:
+    """Per class the bucket that holds its ``_take``-th row, and the row's number in it."""
+    before = F.sum("n").over(Window.partitionBy("_class").orderBy("_bucket")) - F.col("n")
+    placed = buckets.withColumn("_before", before).join(takes, "_class")
+    return placed.where(
+        (F.col("_before") < F.col("_take")) & (F.col("_take") <= F.col("_before") + F.col("n"))
+    ).select("_class", "_bucket", "n", (F.col("_take") - F.col("_before")).alias("_take"))
+
+
 def plain_split(
     df: DataFrame,
     id_columns: list[str],

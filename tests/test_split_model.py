@@ -55,6 +55,26 @@ def test_coarse_buckets_agree(spark, monkeypatch):
     assert sorted(fine) == sorted(coarse)
 
 
+@pytest.mark.parametrize(("digits", "rows"), [(1, 1), (1, 3), (2, 1), (4, 2)])
+def test_edge_buckets_are_split_further(spark, monkeypatch, digits, rows):
+    df = labelled(spark, {"a": 400, "b": 37, "c": 2})
+    plain = split.stratified_split(df, "label", ["id"], train_ratio=0.75).collect()
+    monkeypatch.setattr(split, "BUCKET_DIGITS", digits)
+    monkeypatch.setattr(split, "EDGE_ROWS", rows)
+    assert sorted(split.stratified_split(df, "label", ["id"], train_ratio=0.75).collect()) == sorted(plain)
+
+
+@pytest.mark.parametrize("edge_rows", [1, 1_000_000])
+def test_repeated_ids_are_refused(spark, monkeypatch, edge_rows):
+    monkeypatch.setattr(split, "EDGE_ROWS", edge_rows)
+    twenty = spark.createDataFrame([(i // 5, "a", float(i)) for i in range(100)], "id INT, label STRING, x DOUBLE")
+    with pytest.raises(Exception, match="identify rows"):
+        split.stratified_split(twenty, "label", ["id"], train_ratio=0.73).collect()
+    # Told apart by a further column, the same rows split exactly.
+    parts = split.stratified_split(twenty, "label", ["id", "x"], train_ratio=0.75).collect()
+    assert Counter(r.part for r in parts) == {"train": 75, "simulation": 25}
+
+
 def test_split_errors(spark):
     with pytest.raises(ValueError):
         split.stratified_split(labelled(spark, {"a": 5, "b": 1}), "label", ["id"], train_ratio=0.5)
