@@ -1,11 +1,16 @@
 """Change events, enrichment and landed rows."""
 
+import json
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendspark.catalog import roles
 from lendspark.catalog.registry import plain_numbers, query
 from lendspark.functions.lookup import quality_score
 from lendspark.operators import cdc, enrich
+from lendspark.session import scratch_path
+from lendspark.sources import schemas
 from lendspark.streaming.ingest import land_applications
 
 _EVENT_FIELDS = [
@@ -41,6 +46,25 @@ def cdc_parse(spark, sf):
     return events(spark, sf).select(*_EVENT_FIELDS)
 
 
+@query("cdc_parse_described", roles.sql(f"SELECT {_EVENT_SQL} FROM cdc", "cdc"))
+def cdc_parse_described(spark, sf):
+    """Events parsed with a schema that is read from its JSON description.
+
+    The description spells types in capitals and leaves out what the reader fills in.
+    """
+    def described(kind):
+        if not isinstance(kind, T.StructType):
+            return kind.typeName().upper()
+        return {"type": "struct", "fields": [{"name": f.name, "type": described(f.dataType)} for f in kind.fields]}
+
+    path = scratch_path(spark, "schema")
+    text = json.dumps(described(schemas.CDC_PAYLOAD_SCHEMA))
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    payload = schemas.load_schema(spark, path)
+    records = roles.broker_records(roles.table(spark, sf, "events"))
+    return cdc.parse_events(records, payload).select(*_EVENT_FIELDS)
+
+
 @query("cdc_filter_ops", roles.sql(f"SELECT {_EVENT_SQL} FROM cdc WHERE cdc_operation <> 'd'", "cdc"))
 def cdc_filter_ops(spark, sf):
     return row_events(spark, sf).select(*_EVENT_FIELDS)
