@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,34 @@ SLICE_BYTES = 4 << 20
 """Text handled at once inside a task; longer batches are cut into slices of rows."""
 
 
+BATCH_BYTES = 4 << 20
+"""Text in one Arrow batch: what a task hands to its Python worker at once."""
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small in this session, unless it says itself how large they may be.
+
+    Rows alone bound a batch otherwise, so that long texts make it large on both sides.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def releasing(work):
+    """A step of ``mapInArrow`` after which the worker, which waits for other tasks, gives back free memory."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        # Of the C library on Linux; others have no such call.
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import coded, distinct_numbers, mixed, ngram_hashes, slices, string_hashes, table, words_of, written
+from lendspark.llm.common import bounded_batches, coded, distinct_numbers, mixed, ngram_hashes, releasing, slices, string_hashes, table, words_of, written
 from lendspark.llm.components import components
 
 BINS = 64
@@ -28,15 +28,18 @@ BINS = 64
 
 @dataclass(frozen=True)
 class Join:
-    """``recall``: aimed at for a pair at the threshold that splits at every level."""
+    """``recall``: aimed at for a pair of equal sizes at the threshold that splits at every level.
+
+    Where one set holds the other, the same runs find such a pair with a chance of 0.996.
+    """
 
     threshold: float = 0.8
     shingle: int = 5
     levels: int = 4
     small: int = 32
     recall: float = 0.999
-    block_chars: int = 1 << 20
-    block_texts: int = 256
+    block_chars: int = 2 << 20
+    block_texts: int = 512
 
     @property
     def runs(self) -> int:
@@ -69,6 +72,8 @@ def sketches(docs: DataFrame, settings: Join, id_column: str, text_column: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "words"):
             texts = batch.num_rows
+            if texts >= 1 << 20:
+                raise ValueError("a batch may hold fewer than 2 ** 20 rows")
             words, rows = words_of(batch.column("words"))
             codes, distinct = coded(words)
             hashes = string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
@@ -116,7 +121,7 @@ def sketches(docs: DataFrame, settings: Join, id_column: str, text_column: str)
     chosen = docs.select(F.col(id_column).alias("doc_id"), words.alias("words"), node_of(words).alias("node"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
     lists = ", ".join(f"picks{k} array<long>" for k in range(levels))
-    return chosen.mapInArrow(run, f"doc_id {kind}, node binary, size int, sketch binary, {lists}")
+    return chosen.mapInArrow(releasing(run), f"doc_id {kind}, node binary, size int, sketch binary, {lists}")
 
 
 def paths(nodes: DataFrame, settings: Join) -> tuple[DataFrame, DataFrame]:
@@ -126,21 +131,41 @@ def paths(nodes: DataFrame, settings: Join) -> tuple[DataFrame, DataFrame]:
     open_paths = open_paths.select("node", F.shiftright("pick", 48).alias("run"), F.xxhash64("pick").alias("path"))
     for level in range(settings.levels):
         if level:
-            picks = nodes.select("node", F.explode(f"picks{level}").alias("pick"))
-            picks = picks.select("node", F.shiftright("pick", 48).alias("run"), "pick")
-            open_paths = large.select("node", "run", "path").join(picks, ["node", "run"]).select(
-                "node", "run", F.xxhash64("path", "pick").alias("path")
-            )
+            # A text's picks travel as one array and are taken apart beside its paths.
+            own = nodes.select("node", F.col(f"picks{level}").alias("picks"))
+            same_run = F.filter("picks", lambda p: F.shiftright(p, 48) == F.col("run"))
+            open_paths = large.join(own, "node").select("node", "run", "path", F.explode(same_run).alias("pick"))
+            open_paths = open_paths.select("node", "run", F.xxhash64("path", "pick").alias("path"))
         sizes = open_paths.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        counted = open_paths.join(sizes, "path")
+        # Written once for both of its readers.
+        counted = written(open_paths.join(sizes, "path").select("path", "node", "run", "n"), "paths")
         now = counted.where(F.col("n") <= settings.small).select("path", "node")
         small = now if small is None else small.unionByName(now)
-        large = written(counted.where(F.col("n") > settings.small), "paths")
+        large = counted.where(F.col("n") > settings.small).select("path", "node", "run")
         if large.isEmpty():
             break
     return small, large.select("path", "node")
 
 
+def among(rows: DataFrame, chosen: DataFrame, key: str, buckets: int = 1024) -> DataFrame:
+    """Rows of which few are not among the ``chosen`` keys: a bitmap of hashed keys tells.
+
+    The bitmap has 4 KB a bucket, whatever the number of keys, and is broadcast; the more
+    keys, the more rows pass, so a join has to follow.
+    """
+    bits = 8 * 4096
+    spark = rows.sparkSession
+    place = F.pmod(F.xxhash64(key), F.lit(buckets * bits))
+    marks = chosen.select(place.alias("place")).groupBy(F.floor(F.col("place") / bits).alias("bucket"))
+    marks = marks.agg(F.bitmap_construct_agg(F.col("place") % bits).alias("marks")).collect()
+    table = spark.createDataFrame(marks, "bucket long, marks binary")
+    at = (place % bits).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("marks"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0
+    joined = rows.join(F.broadcast(table), F.floor(place / bits) == F.col("bucket"))
+    return joined.where(bit).select(*rows.columns)
+
+
 def candidates(nodes: DataFrame, settings: Join) -> DataFrame:
     """Edges (a, b) that connect every two texts which share a path and pass the filters.
 
@@ -176,7 +201,7 @@ def candidates(nodes: DataFrame, settings: Join) -> DataFrame:
     members = members.select(F.col("x.node").alias("ids"), F.col("x.size").alias("sizes"), F.col("x.sketch").alias("sketches"))
     heads = large.groupBy("path").agg(F.min("node").alias("a"))
     tied = large.join(heads, "path").select("a", F.col("node").alias("b")).where("a <> b")
-    edges = members.mapInArrow(run, "a binary, b binary").unionByName(tied)
+    edges = members.mapInArrow(releasing(run), "a binary, b binary").unionByName(tied)
     return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -307,6 +332,7 @@ def jaccard_join(
     case or white space alone are one class. Null and repeated ids are kept as rows;
     other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     rows = written(sketches(docs, settings, id_column, text_column), "sketches")
     kept = ["size", "sketch", *(f"picks{k}" for k in range(settings.levels))]
     members = rows.select("doc_id", "node", "size")
@@ -317,7 +343,8 @@ def jaccard_join(
     near = components(candidates(nodes, settings), "a", "b")
     near = written(near.join(classes.select("node", "copies"), "node"), "candidates")
     words = normal(F.col(text_column))
-    texts = docs.select(node_of(words).alias("node"), words.alias("words")).join(near.select("node"), "node", "left_semi")
+    texts = docs.select(node_of(words).alias("node"), words.alias("words"))
+    texts = among(texts, near, "node").join(near.select("node").hint("merge"), "node", "left_semi")
     texts = written(texts.groupBy("node").agg(F.first("words").alias("words")).join(near, "node"), "texts")
     found = written(verified(texts, settings), "links")
     links = found.where("b is not null").select(F.col("node").alias("a"), "b", "similarity")
@@ -362,16 +389,21 @@ def one_per_class(
     same = joined.members.join(ids, (F.col("node") == F.col("kept_node")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))
     counts = written(same.groupBy("kept_node", "kept_id").agg(F.count(F.lit(1)).alias("times")), "kept")
     words = normal(F.col(text_column))
-    of_row = (node_of(words) == F.col("kept_node")) & F.col(id_column).eqNullSafe(F.col("kept_id"))
+    # Names that no column of the rows has.
+    names = {}
+    for name in ("kept_node", "kept_id", "times"):
+        names[name] = name
+        while names[name] in docs.columns:
+            names[name] += "_"
+    counts = counts.withColumnsRenamed(names)
+    node, kept_id, times = (F.col(names[c]) for c in ("kept_node", "kept_id", "times"))
+    of_row = (node_of(words) == node) & F.col(id_column).eqNullSafe(kept_id)
     full = docs.where(words != "")
-    out = docs.where(words == "").unionByName(full.join(counts.where("times = 1"), of_row, "left_semi"))
-    repeated = counts.where("times > 1")
+    out = docs.where(words == "").unionByName(full.join(counts.where(times == 1), of_row, "left_semi"))
+    repeated = counts.where(times > 1)
     if not repeated.isEmpty():
-        node = "node"
-        while node in docs.columns:
-            node += "_"
-        rows = full.join(repeated, of_row, "left_semi").withColumn(node, node_of(words))
-        out = out.unionByName(rows.dropDuplicates([node]).drop(node))
+        rows = full.join(repeated, of_row, "left_semi").withColumn(names["kept_node"], node_of(words))
+        out = out.unionByName(rows.dropDuplicates([names["kept_node"]]).drop(names["kept_node"]))
     return out
 
 
