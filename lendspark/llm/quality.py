@@ -2,10 +2,12 @@
 
 A group's values are counted in logarithmic bins, a quantile sketch of fixed relative
 error that merges by adding counts and does not depend on the order of rows. Fences beyond
-a group's outer quantiles replace fixed cutoffs; small groups use the merged sketch of
-their language, or of all texts. The fences are joined back and decide. No rate has a
-fixed limit: where most texts of a group have none of something, only the few occurrences
-that chance puts into a text of any length are allowed.
+a group's outer quantiles replace fixed cutoffs. Where most texts of a group have none of
+something, its fence is 0, and what chance may put into a text follows from the group too:
+the share of texts without any gives the rate at which it occurs, and a text may have what
+is not all too unlikely at that rate in its length. All figures of a group are drawn towards
+its language's, and those towards all texts', by the weight of a few texts, at any size. The
+limits are joined back and decide.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import coded, mixed, ngram_hashes, slices, string_hashes, table, words_of, written
@@ -29,14 +31,14 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 class Rules:
     """``bins``: bins per unit of the natural logarithm, so 1 % wide. ``outer``: share of
     texts below the upper and above the lower quantile. ``fence``: distances of that quantile
-    from the median beyond it. ``group``: least texts of a sketch of its own. ``chance``:
-    occurrences that a text may have above its group's fence, whatever its length."""
+    from the median beyond it. ``tail``: chance below which a text's occurrences are too many.
+    ``weight``: texts that a language's figures count as in those of its sources."""
 
     bins: int = 100
-    outer: float = 0.9
-    fence: float = 3.0
-    group: int = 200
-    chance: int = 3
+    outer: float = 0.8
+    fence: float = 4.0
+    tail: float = 1e-3
+    weight: float = 20.0
     min_words: int = 10
     base_repeat_percent: int = 20
 
@@ -97,52 +99,92 @@ def rates(rules: Rules) -> dict[str, tuple]:
     return {rule: (per(a, b), a, b, one) for rule, (a, b, one) in parts.items()}
 
 
+NONE = -1
+"""Bin of the texts with no occurrence."""
+
+
 def sketches(measured: DataFrame, rules: Rules) -> DataFrame:
-    """(lang, source, rule, bin, n) over the texts that pass the base rules."""
-    each = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, (v, *_) in rates(rules).items())))
+    """(lang, source, rule, bin, n, size) over the texts that pass the base rules.
+
+    ``size``: words or lines of the bin's texts.
+    """
+    each = F.explode(F.array(*(
+        F.struct(F.lit(r).alias("rule"), v.alias("value"), F.col(count).alias("count"), F.col(of).alias("size"))
+        for r, (v, count, of, _) in rates(rules).items()
+    )))
     values = measured.where("not base_failed").select("lang", "source", each.alias("x"))
-    bin_of = F.floor(F.log1p(F.col("x.value").cast("double")) * rules.bins)
-    return values.groupBy("lang", "source", F.col("x.rule").alias("rule"), bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bin_of = F.when(F.col("x.count") == 0, NONE).otherwise(F.floor(F.log1p(F.col("x.value").cast("double")) * rules.bins))
+    return values.groupBy("lang", "source", F.col("x.rule").alias("rule"), bin_of.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("x.size").alias("size")
+    )
+
+
+FACTS = ("low", "middle", "high", "none", "length")
 
 
 def quantiles(sketch: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
-    """Per key and rule: number of values, their median and outer quantiles, at their bins' middles."""
-    merged = sketch.groupBy(*keys, "rule", "bin").agg(F.sum("n").alias("n"))
+    """Per key and rule: number of texts, their median and outer quantiles, at their bins' middles,
+    the share of texts without an occurrence, and the mean length."""
+    merged = sketch.groupBy(*keys, "rule", "bin").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
     # A window holds the bins of one group, about 1,500 at most.
     own = Window.partitionBy(*keys, "rule")
     merged = merged.withColumn("total", F.sum("n").over(own)).withColumn("upto", F.sum("n").over(own.orderBy("bin")))
-    at = lambda q: F.min(F.when(F.col("upto") >= F.col("total") * q, F.expm1((F.col("bin") + 0.5) / rules.bins)))
-    return merged.groupBy(*keys, "rule").agg(F.max("total").alias("total"), *(at(q).alias(n) for n, q in (("low", 1 - rules.outer), ("middle", 0.5), ("high", rules.outer))))
+    value = F.when(F.col("bin") == NONE, 0.0).otherwise(F.expm1((F.col("bin") + 0.5) / rules.bins))
+    at = lambda q: F.min(F.when(F.col("upto") >= F.col("total") * q, value))
+    return merged.groupBy(*keys, "rule").agg(
+        F.max("total").alias("total"),
+        *(at(q).alias(n) for n, q in (("low", 1 - rules.outer), ("middle", 0.5), ("high", rules.outer))),
+        # Half a text more on either side, so that neither share is ever 0.
+        ((F.sum(F.when(F.col("bin") == NONE, F.col("n")).otherwise(0)) + 0.5) / (F.sum("n") + 1)).alias("none"),
+        (F.sum("size") / F.sum("n")).alias("length"),
+    )
 
 
 def fences(sketch: DataFrame, rules: Rules) -> DataFrame:
-    """One row per language and source with each rule's lower and upper fence."""
+    """One row per language and source with each rule's lower and upper fence and its rate."""
     sketch = written(sketch.na.fill("\u0000", ["lang", "source"]), "sketch")
-    facts = F.struct("total", "low", "middle", "high")
+    facts = F.struct("total", *FACTS)
     own = quantiles(sketch, ["lang", "source"], rules).select("lang", "source", "rule", facts.alias("own"))
     lang = quantiles(sketch, ["lang"], rules).select("lang", "rule", facts.alias("of_lang"))
     every = quantiles(sketch, [], rules).select("rule", facts.alias("of_all"))
-    found = own.join(lang, ["lang", "rule"]).join(every, "rule")
-    best = F.when(F.col("own.total") >= rules.group, F.col("own")).when(F.col("of_lang.total") >= rules.group, F.col("of_lang")).otherwise(F.col("of_all"))
-    found = found.select("lang", "source", "rule", best.alias("x"))
+
+    def drawn(own: str, towards: dict[str, Column]) -> dict[str, Column]:
+        total = F.col(f"{own}.total")
+        return {f: (total * F.col(f"{own}.{f}") + rules.weight * towards[f]) / (total + rules.weight) for f in FACTS}
+
+    x = drawn("own", drawn("of_lang", {f: F.col(f"of_all.{f}") for f in FACTS}))
     # A bin's width at least, which is the sketch's error.
-    beyond = lambda q, d: F.greatest(rules.fence * d, F.col(q) / rules.bins)
-    upper = F.col("x.high") + beyond("x.high", F.col("x.high") - F.col("x.middle"))
-    lower = F.col("x.low") - beyond("x.low", F.col("x.middle") - F.col("x.low"))
-    columns = []
-    for rule in rates(rules):
-        mine = F.col("rule") == rule
-        columns.append(F.max(F.when(mine, upper)).alias(f"{rule}_most"))
-        columns.append(F.max(F.when(mine, lower)).alias(f"{rule}_least"))
+    beyond = lambda q, d: F.greatest(rules.fence * d, q / rules.bins)
+    upper = x["high"] + beyond(x["high"], x["high"] - x["middle"])
+    lower = x["low"] - beyond(x["low"], x["middle"] - x["low"])
+    # Texts without any are as many as chance leaves at this rate.
+    rate = -F.log(x["none"]) / F.greatest(x["length"], F.lit(1.0))
+    found = own.join(lang, ["lang", "rule"]).join(every, "rule").select(
+        "lang", "source", "rule", upper.alias("most"), lower.alias("least"), rate.alias("rate")
+    )
+    columns = [
+        F.max(F.when(F.col("rule") == rule, F.col(c))).alias(f"{rule}_{c}")
+        for rule in rates(rules) for c in ("most", "least", "rate")
+    ]
     return written(found.groupBy("lang", "source").agg(*columns), "fences")
 
 
+def likely(count: Column, expected: Column, rules: Rules) -> Column:
+    """Whether so many occurrences or more are no rarer than ``tail``.
+
+    The chance is bounded by Chernoff's formula for a Poisson count.
+    """
+    bound = count - expected - count * F.log(count / expected)
+    return (count <= expected) | (bound >= F.log(F.lit(rules.tail)))
+
+
 def judged(docs: DataFrame, rules: Rules = Rules(), id_column: str = "doc_id", text_column: str = "text", groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
     """Every row's id, counts, ``base_failed`` and ``kept``.
 
     Null texts have no words and fail the base rules, as empty ones do. A null language
     or source is a group of its own. Null and repeated ids keep their rows. Other columns
-    are ignored.
+    are ignored. Extra rows of a group move its limits alone, but for the few texts' weight
+    that its language has in the others.
     """
     measured = measures(docs, id_column, text_column, groups)
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.base_repeat_percent * F.col("n_words"))
@@ -153,7 +195,10 @@ def judged(docs: DataFrame, rules: Rules = Rules(), id_column: str = "doc_id", t
         if one is None:
             within = value.between(F.col(f"{rule}_least"), F.col(f"{rule}_most"))
         else:
-            within = F.col(count) <= F.col(f"{rule}_most") * F.col(of) / 1000 + rules.chance * one
+            # At the fence, or no more than chance may put there.
+            within = (value <= F.col(f"{rule}_most")) | likely(
+                F.col(count) / F.lit(float(one)), F.col(f"{rule}_rate") * F.col(of), rules
+            )
         inside = inside & F.coalesce(within, F.lit(True))
     joined = measured.join(limits, ["lang", "source"], "left")
     return joined.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & inside).alias("kept"))
