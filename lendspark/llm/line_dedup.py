@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import slices, table
+from lendspark.llm.common import bounded_batches, slices, table, written
 
 UNIT = re.compile(r"\S[^\n]*?(?:[.!?](?=\s)|(?=\n)|\Z)")
 
@@ -64,18 +64,23 @@ def units(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 def repeats(
     docs: DataFrame, settings: Passages = Passages(), id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Removed passages: doc_id, key, begin, end, n_units, n_words, kept_doc_id, kept_begin.
+    """Removed passages: doc_id, key, copy, begin, end, n_units, n_words, kept_doc_id, kept_begin.
 
     Occurrences rank by id (null last), then by a hash of the text, then by place; ``key``
-    is that hash. Rows with the same id and text count as one document. Null, empty and
-    blank texts have no unit. Begin and end count code points. Other columns are ignored.
+    is that hash. Of n equal rows (same id and text) the first, ``copy`` 0, is treated like
+    any other; each further one, ``copy`` 1 to n - 1, is a repeat as a whole, whatever its
+    length. Null, empty and blank texts have no unit. Begin and end count code points.
+    Other columns are ignored.
     """
-    found = units(docs, id_column, text_column)
+    bounded_batches(docs.sparkSession)
+    # Taken apart once; what follows reads the units.
+    found = written(units(docs, id_column, text_column), "units")
     kind = found.schema["doc_id"].dataType.simpleString()
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "begin")
     # Partial sums go first, so a very common unit is one row per task.
     ranked = found.select("a", "b", rank.alias("rank")).groupBy("a", "b").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-    ranked = ranked.where("first <> last").select("a", "b", "first")
+    # As a table, so that Spark may split a very common unit's rows in the join.
+    ranked = written(ranked.where("first <> last").select("a", "b", "first"), "repeated")
     again = found.join(ranked, ["a", "b"]).where(rank != F.col("first"))
     unit = F.struct("number", "begin", "end", "words", F.col("first.doc_id").alias("kept"), F.col("first.begin").alias("kept_begin"))
     per_text = again.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(unit)).alias("units"))
@@ -103,7 +108,24 @@ def repeats(
             )
 
     schema = f"doc_id {kind}, key long, begin int, end int, n_units int, n_words int, kept_doc_id {kind}, kept_begin int"
-    return per_text.mapInArrow(run, schema)
+    passages = per_text.mapInArrow(run, schema).withColumn("copy", F.lit(0))
+    return passages.unionByName(equal_rows(found))
+
+
+def equal_rows(found: DataFrame) -> DataFrame:
+    """A passage over the whole text for every row but the first of equal ones."""
+    rows = found.where("number = 0").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    rows = written(rows.where("rows > 1"), "equal")
+    same = (F.col("u.key") == F.col("r.key")) & F.col("u.doc_id").eqNullSafe(F.col("r.doc_id"))
+    whole = found.alias("u").join(rows.alias("r"), same).groupBy("u.doc_id", "u.key").agg(
+        F.max("rows").alias("rows"), F.min("begin").alias("begin"), F.max("end").alias("end"),
+        (F.count(F.lit(1)) / F.max("rows")).cast("int").alias("n_units"),
+        (F.sum("words") / F.max("rows")).cast("int").alias("n_words"),
+    )
+    return whole.select(
+        "doc_id", "key", "begin", "end", "n_units", "n_words", F.col("doc_id").alias("kept_doc_id"),
+        F.col("begin").alias("kept_begin"), F.explode(F.sequence(F.lit(1), F.col("rows").cast("int") - 1)).alias("copy"),
+    )
 
 
 def cut_out(text: str | None, spans: list[tuple[int, int]]) -> str | None:
