@@ -30,7 +30,25 @@ TEMPLATES = {
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "isc-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+    "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU General Public License as published by the Free Software Foundation",
+    "lgpl-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the "
+    "GNU Lesser General Public License as published by the Free Software Foundation",
+    "agpl-notice": "it under the terms of the GNU Affero General Public License as published by the Free Software "
+    "Foundation",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring "
+    "rights to this work.",
+    "apache-2.0-text": "you may not use this file except in compliance with the License. You may obtain a copy of the "
+    "License at",
+    "zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+    "authors be held liable for any damages arising from the use of this software",
 }
+SPDX = "SPDX-License-Identifier:"
+"""Mark of a tag, which is shorter than a shingle and is found as it is written."""
+SPDX_TAG = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]*[A-Za-z0-9+])"
 SHINGLE = 5
 
 
@@ -114,9 +132,10 @@ def scan(
     """(doc_id, license, containment, first_word) for every statement found in a text.
 
     ``first_word`` counts the words with letters or digits before the statement's first
-    shingle that is there. Statements shorter than five words are not found. Null, empty
-    and blank texts hold none. Rows with the same id and text count once; a null id is an
-    id. A text with several places has a row for each. Other columns are ignored.
+    shingle that is there. Statements shorter than five words are not found, but for SPDX
+    tags, whose license is ``spdx:`` and the name. Null, empty and blank texts hold none.
+    Rows with the same id and text count once; a null id is an id. A text with several
+    places has a row for each, also where they follow each other. Other columns are ignored.
     """
     spark = docs.sparkSession
     bands = template_bands(spark, TEMPLATES if templates is None else templates, settings)
@@ -135,15 +154,61 @@ def scan(
     )
     joined = hits.join(F.broadcast(bands), "band")
     size = F.size("template")
-    low = F.greatest(F.col("start") - size, F.lit(0))
-    region = F.slice("shingles", low + 1, F.lit(settings.window) + 2 * size)
-    joined = held(joined.select("doc_id", "row", "license", "template", low.alias("low"), region.alias("region")), both=F.array_intersect("template", "region"))
+    # One template's length more than a place in the window can reach, so that a place cut off
+    # at the left is told from one that begins there.
+    low = F.greatest(F.col("start") - 2 * size, F.lit(0))
+    region = F.slice("shingles", low + 1, F.lit(settings.window) + 4 * size)
+    joined = held(joined.select("doc_id", "row", "license", "template", "start", low.alias("low"), region.alias("region")), both=F.array_intersect("template", "region"))
     share = F.size("both") / F.size("template")
     exact = joined.where(share >= settings.containment)
-    place = F.col("low") + F.array_min(F.transform("both", lambda h: F.array_position("region", h))) - 1
-    found = exact.select("doc_id", "row", "license", F.round(share, 6).alias("containment"), place.cast("long").alias("first_word"))
+    exact = held(exact, places=places_of(settings))
+    exact = exact.select("doc_id", "row", "license", "start", "low", F.size("template").alias("size"), F.explode("places").alias("place"))
+    first = F.col("low") + F.col("place.at")
+    # A place that begins earlier belongs to an earlier window.
+    found = exact.where((first > F.col("start") - F.col("size")) | (F.col("low") == 0)).select(
+        "doc_id", "row", "license", F.round("place.share", 6).alias("containment"), first.cast("long").alias("first_word")
+    )
     found = found.groupBy("doc_id", "row", "license", "first_word").agg(F.max("containment").alias("containment"))
-    return found.select("doc_id", "license", "containment", "first_word")
+    return found.select("doc_id", "license", "containment", "first_word").unionByName(tags(docs, id_column, text_column))
+
+
+def places_of(settings: Bands) -> Column:
+    """(at, share) of the places in a region, left to right, none inside another.
+
+    A place begins at a shingle of the template from which on, within the template's length
+    and a quarter, enough of the template's shingles lie.
+    """
+    size = F.size("template")
+    reach = (size + F.ceil(size / 4)).cast("int")
+    candidates = F.filter(
+        F.transform("region", lambda h, i: F.struct(
+            i.alias("at"),
+            F.when(
+                F.array_contains("template", h),
+                F.size(F.array_intersect(F.col("template"), F.slice(F.col("region"), i + 1, reach))) / size,
+            ).otherwise(0.0).alias("share"),
+        )),
+        lambda p: p["share"] >= settings.containment,
+    )
+    none = F.array().cast("array<struct<at:int,share:double>>")
+    # The next place may begin behind the last one's shingles.
+    clear = lambda taken, p: (F.size(taken) == 0) | (p["at"] >= F.get(taken, F.size(taken) - 1)["at"] + size)
+    return F.aggregate(candidates, none, lambda taken, p: F.when(clear(taken, p), F.concat(taken, F.array(p))).otherwise(taken))
+
+
+def tags(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """SPDX tags: doc_id, license, containment 1 and first word, once per id and text."""
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).where(F.contains("text", F.lit(SPDX)))
+    rows = rows.dropDuplicates()
+    parts = held(rows, parts=F.split("text", SPDX_TAG), names=F.regexp_extract_all("text", F.lit(SPDX_TAG), F.lit(1)), whole=F.regexp_extract_all("text", F.lit(SPDX_TAG), F.lit(0)))
+    # Words before a tag: those of the texts between the tags, and of the tags before it.
+    total = lambda texts, n: F.aggregate(F.slice(texts, F.lit(1), n), F.lit(0), lambda a, t: a + F.size(words_in(t)))
+    before = lambda i: total(F.col("parts"), i + 1) + total(F.col("whole"), i)
+    found = parts.select("doc_id", F.explode(F.transform("names", lambda n, i: F.struct(n.alias("name"), before(i).alias("at")))).alias("tag"))
+    return found.select(
+        "doc_id", F.concat(F.lit("spdx:"), "tag.name").alias("license"), F.lit(1.0).alias("containment"),
+        F.col("tag.at").cast("long").alias("first_word"),
+    )
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
