@@ -35,12 +35,16 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder in the session's warehouse, which is shared as well.
+    Where that is unset, a folder in the session's warehouse, which is shared as well. The
+    default warehouse of a cluster's driver lies on its own disk, though, and is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"executors do not share {warehouse}: name a shared folder in spark.checkpoint.dir")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

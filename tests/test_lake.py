@@ -140,6 +140,8 @@ def test_shared_dir_follows_the_session(spark):
     unset = session_of("yarn", {"spark.sql.warehouse.dir": "/shared/warehouse"})
     assert session.shared_dir(unset) == "/shared/warehouse/_scratch"
     assert session.shared_dir(spark) == session.shared_dir(spark)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(session_of("yarn", {"spark.sql.warehouse.dir": "file:/home/app/spark-warehouse"}))
 
 
 def test_csv_keeps_quotes_breaks_blanks_and_nulls(spark, tmp_path):
