@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lendspark.llm.common import coded, ngram_hashes, slices, string_hashes, table, words_of
+from lendspark.llm.common import bounded_batches, coded, ngram_hashes, releasing, slices, string_hashes, table, words_of
 
 EDGE = ".,;:!?\"'()[]*#$%&|<>"
 
@@ -185,7 +185,7 @@ def seeded_blocks(texts: DataFrame, items: DataFrame, settings: Alignment, item_
             # The number of texts goes along as seed -1.
             yield pa.record_batch([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], texts))], ["seed", "n"])
 
-        counted = texts.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n"))
+        counted = texts.select("text").mapInArrow(releasing(count), "seed long, n long").groupBy("seed").agg(F.sum("n"))
         texts_with = np.zeros(len(seeds.hashes) + 1, np.int64)
         for seed, n in counted.collect():  # at most a row per seed of the block
             texts_with[seed] = n
@@ -245,6 +245,7 @@ def without_leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, whole, that align with no item."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(text_column).alias("text"))
     for shared in seeded_blocks(texts, items, settings, item_id, item_text):
 
@@ -254,7 +255,7 @@ def without_leaks(
                 clean[[row for row, *_ in found_in(*word_hashes(batch.column(text_column)), shared.value, settings)]] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(releasing(keep), docs.schema)
     return docs
 
 

@@ -17,14 +17,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import coded, ragged, slices, table, words_of, written
+from lendspark.llm.common import bounded_batches, coded, ragged, releasing, slices, table, words_of, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 WINDOW = 2048
-ENCODE_AT_ONCE = 20_000
-OTHERS_AT_ONCE = 2_000
-ENCODE_BYTES = 2 << 20
+ENCODE_AT_ONCE = 5_000
+OTHERS_AT_ONCE = 1_000
+ENCODE_BYTES = 1 << 20
 KNOWN_STEMS = 1 << 19
 """Distinct words that a task keeps encoded; beyond them it begins anew, which costs time only."""
 MARKS = (".", ",")
@@ -175,7 +175,7 @@ def tokenize(
             local += int(ends[-1])
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return chosen.mapInArrow(run, TOKENS.format(id=chosen.schema["doc_id"].dataType.simpleString()))
+    return chosen.mapInArrow(releasing(run), TOKENS.format(id=chosen.schema["doc_id"].dataType.simpleString()))
 
 
 def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -190,7 +190,7 @@ def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     offsets = spark.sparkContext.broadcast(bases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids"):
+        for batch in slices(batches, "ids", ENCODE_BYTES):
             n = batch.column("n_tokens").to_numpy()
             parts = batch.column("part").to_numpy()
             begin = batch.column("local").to_numpy() + np.array([offsets.value[p] for p in parts.tolist()], np.int64)
@@ -220,7 +220,7 @@ def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
                 [f.split()[0] for f in PIECES.split(", ")],
             )
 
-    return tokens.mapInArrow(run, PIECES.format(id=tokens.schema["doc_id"].dataType.simpleString()))
+    return tokens.mapInArrow(releasing(run), PIECES.format(id=tokens.schema["doc_id"].dataType.simpleString()))
 
 
 def pack(
@@ -238,6 +238,7 @@ def pack(
     repeated ids keep their rows; an empty table gives no piece. Very long texts span as
     many windows as they need. Other columns of the input are ignored.
     """
+    bounded_batches(docs.sparkSession)
     tokens = tokenize(docs, tokenizer or tokenizer_path(), end_id, id_column, text_column)
     return cut(written(tokens, "tokens"), window)
 

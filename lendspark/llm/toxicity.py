@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import coded, in_share, mixed, ragged, slices, table, words_of
+from lendspark.llm.common import bounded_batches, coded, in_share, mixed, ragged, releasing, slices, table, words_of
 
 EDGE = ".,;:!?\"'()[]"
 
@@ -401,7 +401,8 @@ def score(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", te
 
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, score double, predicted int, n_windows long")
+    bounded_batches(docs.sparkSession)
+    return chosen.mapInArrow(releasing(run), f"doc_id {kind}, score double, predicted int, n_windows long")
 
 
 def without_toxic(docs: DataFrame, classifier: Classifier, text_column: str = "text") -> DataFrame:
@@ -409,10 +410,11 @@ def without_toxic(docs: DataFrame, classifier: Classifier, text_column: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_column, 2 << 20):
+        for batch in slices(batches, text_column, 1 << 20):
             yield batch.filter(pa.array(shared.value.scores(batch.column(text_column))[0] < 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(releasing(keep), docs.schema)
 
 
 def trained(docs: DataFrame, labels: DataFrame, shape: Shape = Shape(), training: Training = Training()) -> Classifier:
