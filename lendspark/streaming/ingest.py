@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -103,6 +104,26 @@ def _write_progress(
     line.coalesce(1).write.mode("overwrite").parquet(path)
 
 
+@contextmanager
+def sized_caches(spark: SparkSession) -> Iterator[None]:
+    """Frames persisted inside get as many partitions as their size asks for, not the shuffle's number."""
+    name = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def spread(records: DataFrame) -> DataFrame:
+    """Broker records dealt out by their place in the topic.
+
+    As they come, a topic partition or a file's row group is one task, however large.
+    """
+    return records.repartition("topic", "partition", "offset")
+
+
 def of_batch(
     batch: DataFrame, bki: DataFrame | KeyedTable, balance: DataFrame | KeyedTable
 ) -> tuple[DataFrame, DataFrame]:
@@ -126,16 +147,18 @@ def land_batch(
     """Land row events in ``folder`` of both tables; their row counts, or None if empty.
 
     Running it again replaces what it wrote. Each bureau table is read once, in the part
-    that the batch needs.
+    that the batch needs. The batch is read twice, for its keys and for its rows.
     """
-    held = [batch.persist(StorageLevel.MEMORY_AND_DISK)]
+    keys = batch.select("reco_id_curr")
+    held = [keys]
     try:
-        n_events = batch.count()
-        if n_events == 0:
-            return None
-        known, months = of_batch(batch, bki, balance)
+        with sized_caches(batch.sparkSession):
+            n_events = keys.persist(StorageLevel.MEMORY_AND_DISK).count()
+            if n_events == 0:
+                return None
+            known, months = of_batch(keys, bki, balance)
         held += [known, months]
-        credits = land_credits(bureau_credits(batch, known, months), at)
+        credits = land_credits(bureau_credits(keys, known, months), at)
         credits_folder = f"{tables.bureau_credits}/{folder}"
         _write(credits, credits_folder)
         # Parquet footers tell how many rows there are; a batch may have none.
@@ -176,11 +199,12 @@ def start_ingest(
     ``DataStreamWriter.trigger``. ``at`` is a constant processing time; by default each
     batch takes the time of its start, the same for all tables.
     """
-    def land(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    def land(taken: DataFrame, batch_id: int) -> None:
+        query_id = taken.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"query_id={query_id}/batch_id={batch_id}"
         started = F.lit(datetime.now(timezone.utc)) if at is None else at
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        with sized_caches(taken.sparkSession):
+            batch = parse_events(spread(taken)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             deleted = F.count(F.when(~F.col("cdc_operation").isin(*KEPT_OPERATIONS), 1))
             input_rows, n_deleted = batch.agg(F.count(F.lit(1)), deleted).first()
@@ -199,8 +223,7 @@ def start_ingest(
             on_batch(report)
 
     return (
-        parse_events(records)
-        .writeStream.foreachBatch(land)
+        records.writeStream.foreachBatch(land)
         .option("checkpointLocation", tables.checkpoint)
         .trigger(**(trigger or {"processingTime": TRIGGER}))
         .start()

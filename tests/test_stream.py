@@ -120,3 +120,30 @@ def test_broker_options():
     options = BrokerSource("a:1,b:2", "topic").options()
     assert options["subscribe"] == "topic" and options["maxOffsetsPerTrigger"] == "50"
     assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "true"
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """So few rows would be put together again."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_batch_from_one_row_group_is_spread(spark, tmp_path, world, monkeypatch, uncoalesced):
+    _, bki, balance, tables = world
+    folder = str(tmp_path / "one")
+    write_records(spark, folder, [("c", 1 + i % 2) for i in range(400)], 0)
+    seen = []
+
+    def land(batch, *rest):
+        seen.extend(batch.groupBy(F.spark_partition_id()).count().collect())
+        return landed(batch, *rest)
+
+    landed = ingest.land_batch
+    monkeypatch.setattr(ingest, "land_batch", land)
+    drain(spark, (folder, bki, balance, tables))
+    assert sum(r["count"] for r in seen) == 400 and max(r["count"] for r in seen) < 200
+    assert scan_all(spark, tables.applications).count() == 400
+    assert scan_all(spark, tables.bureau_credits).count() == 400
+    assert spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning") == "false"
