@@ -10,6 +10,7 @@ from lendspark.operators import cdc
 from lendspark.operators.enrich import bureau_credits
 from lendspark.plans import training
 from lendspark.session import scratch_path
+from lendspark.sources import listing
 from lendspark.sources.keyed import KeyedTable, write_keyed
 from lendspark.sources.lake import scan_all
 from lendspark.sources.streams import read_files
@@ -36,16 +37,16 @@ def keyed_bureau(spark, sf) -> tuple[KeyedTable, KeyedTable]:
     return _bureau[key]
 
 
-def run_ingest(spark, sf, path=None):
+def run_ingest(spark, sf, path=None, tables=None):
     """Drain the events table through the ingest; the tables and the finished query.
 
-    ``path`` names a copy of the table in several files, of which each batch takes one.
+    ``path`` names a growing copy of the table, of which a batch takes what is new.
     """
     schema = roles.table(spark, sf, "events").schema
     # A pattern, as the file stream takes a single file only by pattern.
-    source = read_files(spark, path or f"{sf}/events.parquet*", schema, max_files_per_trigger=1 if path else 50)
+    source = read_files(spark, path or f"{sf}/events.parquet*", schema, max_files_per_trigger=MOST_FILES if path else 50)
     records = roles.broker_records(source)
-    tables = ingest.LakeTables.under(scratch_path(spark, "ingest"))
+    tables = tables or ingest.LakeTables.under(scratch_path(spark, "ingest"))
     stream = ingest.start_ingest(
         records, *keyed_bureau(spark, sf), tables,
         trigger={"availableNow": True}, at=F.lit(PROCESSED_AT).cast("timestamp"),
@@ -129,18 +130,23 @@ def bureau_layout(spark, sf):
 
 
 BATCHES = 4
+# More files than a batch has.
+MOST_FILES = 1_000_000
 
 
 _several: dict[tuple[str, str], ingest.LakeTables] = {}
 
 
 def run_batches(spark, sf) -> ingest.LakeTables:
-    """All events, dealt into several files, one per batch."""
+    """All events, dealt into several folders that arrive one after the other, each a batch."""
     events = roles.table(spark, sf, "events")
-    path = scratch_path(spark, "events")
-    dealt = events.withColumn("file", F.col("event_id") % BATCHES).repartition("file")
-    dealt.write.partitionBy("file").parquet(path)
-    tables, _ = run_ingest(spark, sf, path)
+    dealt, path = scratch_path(spark, "dealt"), scratch_path(spark, "events")
+    parts = events.withColumn("file", F.col("event_id") % BATCHES).repartition("event_id")
+    parts.write.partitionBy("file").parquet(dealt)
+    tables = ingest.LakeTables.under(scratch_path(spark, "ingest"))
+    for name in listing.names_in(spark, dealt):
+        listing.move_folder(spark, f"{dealt}/{name}", f"{path}/{name}")
+        run_ingest(spark, sf, path, tables)
     _several[(spark.sparkContext.applicationId, sf)] = tables
     return tables
 
@@ -191,7 +197,8 @@ def scan_committed(spark, sf):
     """Committed batches after a compaction; a batch that landed without its commit is not seen."""
     tables = run_batches(spark, sf)
     commits.compact(spark, tables)
-    events = cdc.keep_row_events(cdc.parse_events(roles.broker_records(roles.table(spark, sf, "events"))))
+    records = ingest.spread(roles.broker_records(roles.table(spark, sf, "events")))
+    events = cdc.keep_row_events(cdc.parse_events(records))
     at = F.lit(PROCESSED_AT).cast("timestamp")
     ingest.land_batch(events, "query_id=unfinished/batch_id=0", *keyed_bureau(spark, sf), tables, at)
     return commits.scan_committed(spark, tables, "applications").select(*LANDED_FIELDS)

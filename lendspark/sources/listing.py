@@ -91,6 +91,14 @@ def newest(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.parquet(*folders)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder with all its files; the folders above the target are made."""
+    fs, where = _of(spark, target)
+    fs.mkdirs(where.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), where):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def move_files(spark: SparkSession, source: str, target: str, pattern: str, suffix: str) -> None:
     """Move files to the same folders under another root, with another ending of their names."""
     fs, root = _of(spark, source)

@@ -4,7 +4,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from lendspark.catalog import stream as stream_queries
 from lendspark.operators import cdc, enrich
+from lendspark.sources import listing
 from lendspark.sources.lake import scan_all
 from lendspark.sources.schemas import BROKER_RECORD_SCHEMA
 from lendspark.sources.streams import BrokerSource, read_files
@@ -147,3 +149,27 @@ def test_a_batch_from_one_row_group_is_spread(spark, tmp_path, world, monkeypatc
     assert scan_all(spark, tables.applications).count() == 400
     assert scan_all(spark, tables.bureau_credits).count() == 400
     assert spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning") == "false"
+
+
+def test_dealt_batches_are_whole_and_of_several_files(spark, tmp_path, monkeypatch, uncoalesced):
+    root = str(tmp_path)
+    spark.range(200).selectExpr(
+        "IF(id = 7, NULL, id) AS event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id % 5 AS user_id",
+        "'view' AS event_type", "CAST(id AS DOUBLE) AS value", "'' AS props",
+    ).coalesce(1).write.parquet(f"{root}/events.parquet")
+    spark.range(1).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "1D AS o_totalprice",
+        "TIMESTAMP_NTZ'2001-01-01 00:00:00' AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    ).write.parquet(f"{root}/orders.parquet")
+    spark.range(1).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "'O' AS l_linestatus").write.parquet(
+        f"{root}/lineitem.parquet"
+    )
+    paths = []
+    run = stream_queries.run_ingest
+    monkeypatch.setattr(stream_queries, "run_ingest", lambda s, sf, path, tables: paths.append(path) or run(s, sf, path, tables))
+    tables = stream_queries.run_batches(spark, root)
+    rows = progress.progress_rows(spark, tables.progress).collect()
+    # The event without an id is a batch of its own.
+    assert sorted(r.input_rows for r in rows) == [1, 49, 50, 50, 50] and len({r.query_id for r in rows}) == 1
+    files = listing.files(spark, paths[0]).groupBy(F.regexp_extract("file_path", "file=([^/]*)/", 1)).count().collect()
+    assert len(files) == 5 and sorted(r["count"] for r in files)[1] > 1
