@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lendspark.sources.lake import union_frames, write_partitioned
+from lendspark.sources.lake import DATE_PARTS, union_frames, write_partitioned
 from lendspark.sources.listing import exists, names_in
 from lendspark.streaming.ingest import LakeTables
 from lendspark.streaming.progress import PROGRESS_DDL, progress_rows
 
 TABLES = ("applications", "bureau_credits", "deletes")
 KEYS = ("query_id", "batch_id")
+# Rows that a task of a compaction takes, whatever they are in bytes once compressed.
+TASK_ROWS = 500_000
 MANIFEST_DDL = "run BIGINT, query_id STRING, batch_id BIGINT"
 
 
@@ -88,7 +90,17 @@ def scan_committed(
     return union_frames(*frames)
 
 
-def compact(spark: SparkSession, tables: LakeTables) -> int | None:
+def _ranges(rows: DataFrame, task_rows: int) -> DataFrame:
+    """Rows in ranges of their day and key, so that few files a day hold about ``task_rows`` each.
+
+    The footers tell the number of rows. By bytes alone a task would take very many rows of
+    a few bytes, and sort them by day in memory.
+    """
+    order = [c for c in (*DATE_PARTS, "reco_id_curr", "reco_bureau_id", "kafka_offset") if c in rows.columns]
+    return rows.repartitionByRange(max(1, -(-rows.count() // task_rows)), *order)
+
+
+def compact(spark: SparkSession, tables: LakeTables, task_rows: int = TASK_ROWS) -> int | None:
     """Rewrite the open batches as one more run by year, month and day; its number, None without any.
 
     Repeating it after a failure replaces the unfinished run. The batches' own folders stay
@@ -103,7 +115,8 @@ def compact(spark: SparkSession, tables: LakeTables) -> int | None:
         folders = [f for f in _folders(spark, getattr(tables, name), batches) if names_in(spark, f)]
         if folders:
             rows = spark.read.option("basePath", getattr(tables, name)).option("mergeSchema", True)
-            write_partitioned(rows.parquet(*folders).drop(*KEYS), _run(tables, name, run), mode="overwrite")
+            ranged = _ranges(rows.parquet(*folders).drop(*KEYS), task_rows)
+            write_partitioned(ranged, _run(tables, name, run), mode="overwrite", rebalance=False)
     lines = spark.createDataFrame([(run, b.query_id, b.batch_id) for b in batches], MANIFEST_DDL)
     # One file per run: it appears whole or not at all.
     lines.coalesce(1).write.mode("overwrite").parquet(f"{_manifest(tables)}/part={run}")

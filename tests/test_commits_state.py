@@ -51,6 +51,18 @@ def test_only_finished_batches_are_seen(spark, world):  # noqa: F811
     assert offsets(commits.scan_committed(spark, tables, "deletes")) == [10, 31]
 
 
+def test_a_days_rows_are_compacted_by_several_tasks(spark, world):  # noqa: F811
+    folder, _, _, tables = world
+    write_records(spark, folder, [("r", 1 + i % 3) for i in range(60)], 100)
+    drain(spark, world)
+    before = {n: Counter(commits.scan_committed(spark, tables, n).drop("year").collect()) for n in commits.TABLES}
+    assert commits.compact(spark, tables, task_rows=10) == 1
+    for name, want in before.items():
+        assert Counter(commits.scan_committed(spark, tables, name).drop("year").collect()) == want
+    assert listing.files(spark, f"{tables.compacted}/applications/run=1").count() >= 5
+    assert listing.files(spark, f"{tables.compacted}/deletes/run=1").count() == 1
+
+
 def test_unfinished_compaction_is_replaced(spark, world):  # noqa: F811
     _, _, _, tables = world
     drain(spark, world)
