@@ -64,6 +64,26 @@ def test_arrays_hold_every_credit(apps, bki, balance, max_items):
         assert nested.where("tag = 'a'").select(F.max(F.size("bureau_credits"))).first()[0] <= 3
 
 
+def test_only_large_applications_are_folded_by_whole_rows(spark, tmp_path):
+    """Both kinds side by side, with equal rows and an unknown applicant; alone, small ones need no such table."""
+    bki = spark.createDataFrame([(1, 10, 1.0, 0.5), (2, 20, 2.0, None), (None, 30, 3.0, None)], BKI)
+    months = [(10, -m, "C") for m in range(3)] + [(20, -(m % 7), "0") for m in range(40)] + [(30, 0, "C")]
+    balance = spark.createDataFrame(months, "reco_bureau_id INT, months_balance INT, stat_for_bureau STRING")
+    rows = enrich.credit_arrays(bki, balance, 5).collect()
+    got = Counter((r.reco_id_curr, c.reco_bureau_id, c.months_balance, c.stat_for_bureau) for r in rows for c in r.bureau_credits)
+    assert got == Counter((b // 10, b, m, s) for b, m, s in months if b != 30)
+    assert [r.part for r in rows if r.reco_id_curr == 1] == [0]
+    assert max(len(r.bureau_credits) for r in rows) < 40
+
+    bki.where("reco_id_curr = 1").write.parquet(str(tmp_path / "bki"))
+    small = enrich.credit_arrays(spark.read.parquet(str(tmp_path / "bki")), balance, 5)
+    assert len(small.collect()) == 1
+    plan = small._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "final" in plan.lower()
+    folds = [line for line in plan.splitlines() if "HashAggregate(keys=[reco_id_curr" in line and "credit_sum" in line.split("functions")[0]]
+    assert folds == []
+
+
 def test_annuity_is_renamed(apps, bki, balance):
     columns = enrich.bureau_credits(apps, bki, balance).columns
     assert "bureau_annuity_payment" in columns and "annuity_payment" not in columns
