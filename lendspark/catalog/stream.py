@@ -40,15 +40,18 @@ def keyed_bureau(spark, sf) -> tuple[KeyedTable, KeyedTable]:
 def run_ingest(spark, sf, path=None, tables=None):
     """Drain the events table through the ingest; the tables and the finished query.
 
-    ``path`` names a growing copy of the table, of which a batch takes what is new.
+    ``path`` names a growing copy of the table, of which a batch takes what is new. Its
+    batches read the bureau laid out by key; the whole table is a single batch, which would
+    read no less of a layout than of the bureau's tables.
     """
     schema = roles.table(spark, sf, "events").schema
     # A pattern, as the file stream takes a single file only by pattern.
     source = read_files(spark, path or f"{sf}/events.parquet*", schema, max_files_per_trigger=MOST_FILES if path else 50)
     records = roles.broker_records(source)
+    bureau = keyed_bureau(spark, sf) if path else (roles.bki(spark, sf), roles.balance(spark, sf))
     tables = tables or ingest.LakeTables.under(scratch_path(spark, "ingest"))
     stream = ingest.start_ingest(
-        records, *keyed_bureau(spark, sf), tables,
+        records, *bureau, tables,
         trigger={"availableNow": True}, at=F.lit(PROCESSED_AT).cast("timestamp"),
     )
     stream.awaitTermination()

@@ -40,15 +40,22 @@ def parse_events(records: DataFrame, payload: T.StructType = CDC_PAYLOAD_SCHEMA)
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
     )
-    flat = F.struct(*(F.col(f"event.{name}") for name in payload.fieldNames()))
-    envelope = F.coalesce("event.payload", flat).alias("event")
-    return parsed.select(envelope, *EVENT_COLUMNS[5:]).select(
-        "event.after.*",
-        F.col("event.op").alias("cdc_operation"),
-        F.col("event.ts_ms").alias("cdc_timestamp_ms"),
-        F.col("event.source.db").alias("source_database"),
-        F.col("event.source.schema").alias("source_schema"),
-        F.col("event.source.table").alias("source_table"),
+    flat, wrapped = F.col("event"), F.col("event")["payload"]
+
+    def field(name: str, *path: str) -> Column:
+        """Taken out of the event as it was parsed: an envelope of its own would copy every field once more."""
+        found = [envelope[first] for envelope in (wrapped, flat) for first in path[:1]]
+        for part in path[1:]:
+            found = [column[part] for column in found]
+        return F.when(wrapped.isNotNull(), found[0]).otherwise(found[1]).alias(name)
+
+    return parsed.select(
+        *(field(name, "after", name) for name in payload["after"].dataType.fieldNames()),
+        field("cdc_operation", "op"),
+        field("cdc_timestamp_ms", "ts_ms"),
+        field("source_database", "source", "db"),
+        field("source_schema", "source", "schema"),
+        field("source_table", "source", "table"),
         *EVENT_COLUMNS[5:],
     )
 

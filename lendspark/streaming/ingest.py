@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from lendspark.functions.columns import share_of
 from lendspark.functions.lookup import quality_score
 from lendspark.operators.cdc import EVENT_COLUMNS, KEPT_OPERATIONS, keep_row_events, parse_events
-from lendspark.operators.enrich import bureau_credits, enrich
+from lendspark.operators.enrich import lookup_counts, repeated_credits, with_outcome
+from lendspark.operators.joins import key_counts
 from lendspark.sources.keyed import KeyedTable, rows_of
 from lendspark.sources.lake import with_date_parts, write_partitioned
 
@@ -34,6 +35,13 @@ CREDIT_PREVIEW = [
 ]
 PREVIEW_ROWS = 5
 
+# Records of a batch that a task takes, as they lie in the exchange.
+BATCH_TASK_BYTES = "16m"
+# Credits that a task lands; there are many for each record.
+CREDIT_TASK_ROWS = 4_000_000
+# Applications of a batch whose counts, 16 bytes each, every executor may hold.
+BROADCAST_KEYS = 1_000_000
+
 
 @dataclass(frozen=True)
 class LakeTables:
@@ -107,13 +115,18 @@ def _write_progress(
 @contextmanager
 def sized_caches(spark: SparkSession) -> Iterator[None]:
     """Frames persisted inside get as many partitions as their size asks for, not the shuffle's number."""
-    name = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+    settings = {
+        "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": BATCH_TASK_BYTES,
+    }
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def spread(records: DataFrame) -> DataFrame:
@@ -147,23 +160,31 @@ def land_batch(
     """Land row events in ``folder`` of both tables; their row counts, or None if empty.
 
     Running it again replaces what it wrote. Each bureau table is read once, in the part
-    that the batch needs. The batch is read twice, for its keys and for its rows.
+    that the batch needs. The batch is read twice, for its keys and for its rows; its rows
+    stay in place while the lookups' counts are few enough to go to every executor.
     """
-    keys = batch.select("reco_id_curr")
-    held = [keys]
+    counts = key_counts(batch, "reco_id_curr")
+    held = [counts]
     try:
         with sized_caches(batch.sparkSession):
-            n_events = keys.persist(StorageLevel.MEMORY_AND_DISK).count()
-            if n_events == 0:
+            counts.persist(StorageLevel.MEMORY_AND_DISK)
+            n_keys, n_events = counts.agg(F.count(F.lit(1)), F.sum("rows")).first()
+            if not n_events:
                 return None
-            known, months = of_batch(keys, bki, balance)
-        held += [known, months]
-        credits = land_credits(bureau_credits(keys, known, months), at)
+            known, months = of_batch(counts, bki, balance)
+            held += [known, months]
+            found = lookup_counts(known, months).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(found)
+        few = n_keys <= BROADCAST_KEYS
+        due = counts.join(found, "reco_id_curr").agg(F.sum(F.col("rows") * F.col("found"))).first()[0] or 0
+        tasks = max(1, -(-due // CREDIT_TASK_ROWS))
+        credits = land_credits(repeated_credits(counts, known, months, tasks, broadcast=few), at)
         credits_folder = f"{tables.bureau_credits}/{folder}"
         _write(credits, credits_folder)
         # Parquet footers tell how many rows there are; a batch may have none.
         n_credits = batch.sparkSession.read.schema(credits.schema).parquet(credits_folder).count()
-        applications = land_applications(enrich(batch, known, months, F.unix_millis(at)), at)
+        outcome = with_outcome(batch, F.broadcast(found) if few else found, F.unix_millis(at))
+        applications = land_applications(outcome, at)
         _write(applications, f"{tables.applications}/{folder}")
         return n_events, n_credits
     finally:

@@ -112,3 +112,23 @@ def test_quality_scores(spark):
     df = spark.createDataFrame([(s,) for s in statuses], "s STRING")
     got = [r.q for r in df.select(quality_score(F.col("s")).alias("q")).collect()]
     assert got == [100, 80, 0, 0, 0, 0]
+
+
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_repeated_credits_are_the_joined_ones(spark, broadcast):
+    bki = spark.createDataFrame(
+        [(1, 10, 5.0), (1, 10, 5.0), (1, 11, None), (2, 20, 6.0), (None, 30, 7.0)],
+        "reco_id_curr INT, reco_bureau_id INT, credit_sum DOUBLE",
+    )
+    balance = spark.createDataFrame(
+        [(10, 0, "C"), (10, None, None), (11, 0, "X"), (20, 0, "C"), (20, 0, "C"), (30, 0, "C")],
+        "reco_bureau_id INT, months_balance INT, stat_for_bureau STRING",
+    )
+    applications = spark.createDataFrame([(1,)] * 7 + [(2,)] * 3 + [(3,), (None,), (None,)], "reco_id_curr BIGINT")
+    joined = enrich.bureau_credits(applications, bki, balance)
+    # Pieces of three rows: seven rows are two whole pieces and one of a single row.
+    counts = joins.key_counts(applications, "reco_id_curr")
+    repeated = enrich.repeated_credits(counts, bki, balance, 3, broadcast, max_items=3)
+    assert repeated.dtypes == joined.dtypes
+    assert Counter(map(tuple, repeated.collect())) == Counter(map(tuple, joined.collect()))
+    assert repeated.count() == 7 * 5 + 3 * 2

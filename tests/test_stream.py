@@ -173,3 +173,41 @@ def test_dealt_batches_are_whole_and_of_several_files(spark, tmp_path, monkeypat
     assert sorted(r.input_rows for r in rows) == [1, 49, 50, 50, 50] and len({r.query_id for r in rows}) == 1
     files = listing.files(spark, paths[0]).groupBy(F.regexp_extract("file_path", "file=([^/]*)/", 1)).count().collect()
     assert len(files) == 5 and sorted(r["count"] for r in files)[1] > 1
+
+
+def test_credits_of_a_batch_are_landed_by_their_number(spark, tmp_path, world, monkeypatch):
+    _, _, _, tables = world
+    monkeypatch.setattr(ingest, "CREDIT_TASK_ROWS", 100, raising=False)
+    bki = spark.range(20).selectExpr("1 AS reco_id_curr", "id AS reco_bureau_id", "5D AS credit_sum")
+    balance = spark.range(20).selectExpr("id AS reco_bureau_id", "0 AS months_balance", "'C' AS stat_for_bureau")
+    folder = str(tmp_path / "many")
+    write_records(spark, folder, [("c", 1 + i % 2) for i in range(200)] + [("c", None)], 0)
+    drain(spark, (folder, bki, balance, tables))
+    credits = scan_all(spark, tables.bureau_credits)
+    # A hundred rows of an application of twenty credits, few bytes before they are repeated.
+    assert {(r.reco_bureau_id, r["count"]) for r in credits.groupBy("reco_bureau_id").count().collect()} == {
+        (i, 100) for i in range(20)
+    }
+    assert max(r["count"] for r in credits.groupBy(F.input_file_name()).count().collect()) < 1000
+    assert scan_all(spark, tables.applications).where("bureau_count = 20").count() == 100
+    assert scan_all(spark, tables.applications).count() == 201
+
+
+def test_the_whole_table_as_one_batch_needs_no_layout(spark, tmp_path, monkeypatch):
+    bureau = []
+    monkeypatch.setattr(stream_queries, "read_files", lambda *args, **more: None)
+    monkeypatch.setattr(stream_queries.roles, "broker_records", lambda source: None)
+    monkeypatch.setattr(stream_queries.roles, "table", lambda s, sf, name: s.range(0))
+    monkeypatch.setattr(stream_queries.roles, "bki", lambda s, sf: "bki")
+    monkeypatch.setattr(stream_queries.roles, "balance", lambda s, sf: "balance")
+    monkeypatch.setattr(stream_queries, "keyed_bureau", lambda s, sf: ("laid out", "laid out"))
+
+    class Done:
+        def awaitTermination(self):
+            pass
+
+    monkeypatch.setattr(ingest, "start_ingest", lambda records, *tables, **more: bureau.append(tables[:2]) or Done())
+    monkeypatch.setattr(stream_queries, "_runs", {})
+    stream_queries.run_ingest(spark, str(tmp_path))
+    stream_queries.run_ingest(spark, str(tmp_path), str(tmp_path / "growing"))
+    assert bureau == [("bki", "balance"), ("laid out", "laid out")]
