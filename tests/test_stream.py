@@ -178,8 +178,8 @@ def test_dealt_batches_are_whole_and_of_several_files(spark, tmp_path, monkeypat
 def test_credits_of_a_batch_are_landed_by_their_number(spark, tmp_path, world, monkeypatch):
     _, _, _, tables = world
     monkeypatch.setattr(ingest, "CREDIT_TASK_ROWS", 100, raising=False)
-    bki = spark.range(20).selectExpr("1 AS reco_id_curr", "id AS reco_bureau_id", "5D AS credit_sum")
-    balance = spark.range(20).selectExpr("id AS reco_bureau_id", "0 AS months_balance", "'C' AS stat_for_bureau")
+    bki = spark.range(0, 20, 1, 1).selectExpr("1 AS reco_id_curr", "id AS reco_bureau_id", "5D AS credit_sum")
+    balance = spark.range(0, 20, 1, 1).selectExpr("id AS reco_bureau_id", "0 AS months_balance", "'C' AS stat_for_bureau")
     folder = str(tmp_path / "many")
     write_records(spark, folder, [("c", 1 + i % 2) for i in range(200)] + [("c", None)], 0)
     drain(spark, (folder, bki, balance, tables))
