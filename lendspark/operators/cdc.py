@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,7 @@ EVENT_COLUMNS = [
     "cdc_operation", "cdc_timestamp_ms", "source_database", "source_schema", "source_table",
     "kafka_key", "kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset",
 ]
+RECORD_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 
 def either_envelope(payload: T.StructType) -> T.StructType:
@@ -23,41 +26,75 @@ def either_envelope(payload: T.StructType) -> T.StructType:
     return T.StructType([T.StructField("payload", payload), *payload.fields])
 
 
-def parse_events(records: DataFrame, payload: T.StructType = CDC_PAYLOAD_SCHEMA) -> DataFrame:
-    """Broker records to row images plus event columns; one output row per record.
+def _unwrapped(records: DataFrame, payload: T.StructType, fields: Sequence[str] | None = None) -> DataFrame:
+    """Records with the parts of their events in ``after``, ``source``, ``op`` and ``ts_ms``.
 
-    Text that is not JSON gives nulls throughout, and a field of the wrong type is null
-    by itself.
+    With ``fields`` only these of the row image are copied. They are parsed with all others, as
+    what a damaged text still gives depends on the fields that are read.
     """
     text = F.col("value").cast("string")
-    parsed = records.select(
-        # Exploding a single value keeps later filters above the parse; pushed below a
-        # plain projection they would parse every record a second time.
-        F.explode(F.array(F.from_json(text, either_envelope(payload)))).alias("event"),
+
+    def parts(event: Column) -> Column:
+        """Taken out while the event is as it was parsed, so that nothing is copied but what is kept."""
+        wrapped = event["payload"]
+        found = {
+            name: F.when(wrapped.isNotNull(), wrapped[name]).otherwise(event[name])
+            for name in ("after", "source", "op", "ts_ms")
+        }
+        if fields is not None:
+            found["after"] = F.struct(*(found["after"][name].alias(name) for name in fields))
+        return F.struct(*(part.alias(name) for name, part in found.items()))
+
+    # Generating a single row keeps later filters above the parse; pushed below a plain
+    # projection they would parse every record a second time.
+    events = F.transform(F.array(F.from_json(text, either_envelope(payload))), parts)
+    return records.select(F.inline(events), *RECORD_COLUMNS)
+
+
+def _image_and_source(fields: Sequence[str]) -> list[Column]:
+    after, source = F.col("after"), F.col("source")
+    return [
+        *(after[name].alias(name) for name in fields),
+        F.col("op").alias("cdc_operation"),
+        F.col("ts_ms").alias("cdc_timestamp_ms"),
+        source["db"].alias("source_database"),
+        source["schema"].alias("source_schema"),
+        source["table"].alias("source_table"),
+    ]
+
+
+def _record_facts() -> list[Column]:
+    return [
         F.col("key").cast("string").alias("kafka_key"),
         F.col("timestamp").cast("timestamp").alias("kafka_timestamp"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-    )
-    flat, wrapped = F.col("event"), F.col("event")["payload"]
-
-    def field(name: str, *path: str) -> Column:
-        """Taken out of the event as it was parsed: an envelope of its own would copy every field once more."""
-        found = [envelope[first] for envelope in (wrapped, flat) for first in path[:1]]
-        for part in path[1:]:
-            found = [column[part] for column in found]
-        return F.when(wrapped.isNotNull(), found[0]).otherwise(found[1]).alias(name)
-
-    return parsed.select(
-        *(field(name, "after", name) for name in payload["after"].dataType.fieldNames()),
-        field("cdc_operation", "op"),
-        field("cdc_timestamp_ms", "ts_ms"),
-        field("source_database", "source", "db"),
-        field("source_schema", "source", "schema"),
-        field("source_table", "source", "table"),
-        *EVENT_COLUMNS[5:],
-    )
+    ]
+
+
+def parse_events(records: DataFrame, payload: T.StructType = CDC_PAYLOAD_SCHEMA) -> DataFrame:
+    """Broker records to row images plus event columns; one output row per record.
+
+    Text that is not JSON gives nulls throughout, and a field of the wrong type is null
+    by itself.
+    """
+    fields = payload["after"].dataType.fieldNames()
+    return _unwrapped(records, payload).select(*_image_and_source(fields), *_record_facts())
+
+
+def with_heads(records: DataFrame) -> DataFrame:
+    """Broker records next to their key, operation, time and source, as ``parse_events`` gives them.
+
+    The row image's many other fields, mostly empty, are not copied.
+    """
+    fields = ["reco_id_curr"]
+    return _unwrapped(records, CDC_PAYLOAD_SCHEMA, fields).select(*_image_and_source(fields), *RECORD_COLUMNS)
+
+
+def heads(records: DataFrame) -> DataFrame:
+    """Key and event columns of records ``with_heads``."""
+    return records.select("reco_id_curr", *EVENT_COLUMNS[:5], *_record_facts())
 
 
 def keep_row_events(events: DataFrame) -> DataFrame:

@@ -15,11 +15,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lendspark.functions.columns import share_of
 from lendspark.functions.lookup import quality_score
-from lendspark.operators.cdc import EVENT_COLUMNS, KEPT_OPERATIONS, keep_row_events, parse_events
+from lendspark.operators.cdc import (
+    EVENT_COLUMNS,
+    KEPT_OPERATIONS,
+    RECORD_COLUMNS,
+    heads,
+    keep_row_events,
+    parse_events,
+    with_heads,
+)
 from lendspark.operators.enrich import lookup_counts, repeated_credits, with_outcome
 from lendspark.operators.joins import key_counts
 from lendspark.sources.keyed import KeyedTable, rows_of
-from lendspark.sources.lake import with_date_parts, write_partitioned
+from lendspark.sources.lake import DATE_PARTS, with_date_parts, write_partitioned
 
 log = logging.getLogger(__name__)
 
@@ -102,6 +110,22 @@ def _write(df: DataFrame, path: str) -> None:
     write_partitioned(df, path, mode="overwrite", rebalance=False)
 
 
+def _write_at(df: DataFrame, path: str, at: Column) -> None:
+    """``_write`` of rows that are all stamped ``at``, straight into the folder of that day.
+
+    A partitioned write would work out the folder of each row, and copy the row without its
+    date parts.
+    """
+    stamp = with_date_parts(df.sparkSession.range(1).select(at.cast("date").alias("date")), "date")
+    day = stamp.select(*DATE_PARTS).first()
+    if None in day:
+        return _write(df, path)
+    # Nothing of an earlier run stays, not even of another day.
+    _write(df.limit(0), path)
+    folder = "/".join(f"{part}={n}" for part, n in zip(DATE_PARTS, day, strict=True))
+    df.drop(*DATE_PARTS).write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
 def _write_progress(
     spark: SparkSession, path: str, at: Column, input_rows: int, landed: tuple[int, int] | None
 ) -> None:
@@ -156,14 +180,16 @@ def land_batch(
     balance: DataFrame | KeyedTable,
     tables: LakeTables,
     at: Column,
+    keys: DataFrame | None = None,
 ) -> tuple[int, int] | None:
     """Land row events in ``folder`` of both tables; their row counts, or None if empty.
 
     Running it again replaces what it wrote. Each bureau table is read once, in the part
-    that the batch needs. The batch is read twice, for its keys and for its rows; its rows
-    stay in place while the lookups' counts are few enough to go to every executor.
+    that the batch needs. The batch is read twice, for its keys and for its rows; ``keys``,
+    if given, are the same events for the former, without the fields of their row images. The
+    rows stay in place while the lookups' counts are few enough to go to every executor.
     """
-    counts = key_counts(batch, "reco_id_curr")
+    counts = key_counts(batch if keys is None else keys, "reco_id_curr")
     held = [counts]
     try:
         with sized_caches(batch.sparkSession):
@@ -180,12 +206,15 @@ def land_batch(
         tasks = max(1, -(-due // CREDIT_TASK_ROWS))
         credits = land_credits(repeated_credits(counts, known, months, tasks, broadcast=few), at)
         credits_folder = f"{tables.bureau_credits}/{folder}"
-        _write(credits, credits_folder)
+        if due:
+            _write_at(credits, credits_folder, at)
+        else:
+            _write(credits, credits_folder)
         # Parquet footers tell how many rows there are; a batch may have none.
         n_credits = batch.sparkSession.read.schema(credits.schema).parquet(credits_folder).count()
         outcome = with_outcome(batch, F.broadcast(found) if few else found, F.unix_millis(at))
         applications = land_applications(outcome, at)
-        _write(applications, f"{tables.applications}/{folder}")
+        _write_at(applications, f"{tables.applications}/{folder}", at)
         return n_events, n_credits
     finally:
         for frame in held:
@@ -200,7 +229,7 @@ def tombstones(events: DataFrame) -> DataFrame:
 
 def land_tombstones(events: DataFrame, folder: str, tables: LakeTables, at: Column) -> None:
     """Land the deletes of a batch; running it again replaces them."""
-    _write(_stamped(tombstones(events), at), f"{tables.deletes}/{folder}")
+    _write_at(_stamped(tombstones(events), at), f"{tables.deletes}/{folder}", at)
 
 
 def start_ingest(
@@ -219,19 +248,24 @@ def start_ingest(
     commits it, see ``streaming.commits``. ``trigger`` takes the keywords of
     ``DataStreamWriter.trigger``. ``at`` is a constant processing time; by default each
     batch takes the time of its start, the same for all tables.
+
+    A batch is cached as its records with their heads; row images, wide and mostly empty, are
+    parsed once, where they are landed, and those of other events not at all.
     """
     def land(taken: DataFrame, batch_id: int) -> None:
         query_id = taken.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = f"query_id={query_id}/batch_id={batch_id}"
         started = F.lit(datetime.now(timezone.utc)) if at is None else at
         with sized_caches(taken.sparkSession):
-            batch = parse_events(spread(taken)).persist(StorageLevel.MEMORY_AND_DISK)
+            batch = with_heads(spread(taken)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             deleted = F.count(F.when(~F.col("cdc_operation").isin(*KEPT_OPERATIONS), 1))
             input_rows, n_deleted = batch.agg(F.count(F.lit(1)), deleted).first()
-            landed = land_batch(keep_row_events(batch), folder, bki, balance, tables, started)
+            kept = keep_row_events(batch)
+            rows = parse_events(kept.select(*RECORD_COLUMNS))
+            landed = land_batch(rows, folder, bki, balance, tables, started, kept)
             if n_deleted:
-                land_tombstones(batch, folder, tables, started)
+                land_tombstones(heads(batch), folder, tables, started)
         finally:
             batch.unpersist()
         if input_rows:

@@ -105,3 +105,17 @@ def test_typed_cast_keeps_categories(spark):
     image = {"reco_id_curr": 1, "income": "10.5", "loan_body": "n/a", "gender": "F"}
     row = cdc.typed_applications(cdc.parse_events(records(spark, [event("c", image)]))).first()
     assert (row.income, row.loan_body, row.gender) == (10.5, None, "F")
+
+
+def test_heads_are_those_of_the_whole_parse(spark):
+    flat = json.dumps({"op": "u", "ts_ms": 3, "after": {"reco_id_curr": 4, "target": "many"}, "source": {"db": "b", "table": 5}})
+    wrapped = json.dumps({"payload": {"op": "c", "ts_ms": "x", "after": {"reco_id_curr": 5, "income": {"a": 1}}}, "op": "d"})
+    texts = [flat, wrapped, flat[:-1], '{"payload": null, "op": "r"}', '{"payload": 1, "op": "r"}', '{"op": "d", "after": [1]}',
+             '{"op": "u", "after": {"target": "\\q", "reco_id_curr": 6}}', '{"op": "c", "after": {"reco_id_curr": "7"}}', "", "[]", None]
+    broker = records(spark, texts)
+    carried = cdc.with_heads(broker)
+    whole = cdc.parse_events(broker).select("reco_id_curr", *cdc.EVENT_COLUMNS)
+    found = cdc.heads(carried).orderBy("kafka_offset").collect()
+    assert found == whole.orderBy("kafka_offset").collect()
+    assert [r.cdc_operation for r in found[:5]] == ["u", "c", None, "r", "r"] and found[1].reco_id_curr == 5
+    assert carried.select(*broker.columns).orderBy("offset").collect() == broker.orderBy("offset").collect()

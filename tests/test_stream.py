@@ -211,3 +211,24 @@ def test_the_whole_table_as_one_batch_needs_no_layout(spark, tmp_path, monkeypat
     stream_queries.run_ingest(spark, str(tmp_path))
     stream_queries.run_ingest(spark, str(tmp_path), str(tmp_path / "growing"))
     assert bureau == [("bki", "balance"), ("laid out", "laid out")]
+
+
+def test_row_images_are_parsed_of_landed_events_only(spark, world, monkeypatch):
+    _, _, _, tables = world
+    seen = []
+    parse = ingest.parse_events
+    monkeypatch.setattr(ingest, "parse_events", lambda records: seen.extend(records.select("offset").collect()) or parse(records))
+    drain(spark, world)
+    assert sorted(r.offset for r in seen) == [0, 1, 20, 21]
+    assert scan_all(spark, tables.deletes).select("kafka_offset").collect() == [(10,)]
+    assert scan_all(spark, tables.applications).count() == 4
+
+
+def test_a_landed_folder_is_that_of_its_day_alone(spark, tmp_path):
+    path = str(tmp_path / "batch")
+    rows = spark.range(3).select(F.lit(1).alias("day"), F.lit(2).alias("month"), F.lit(3).alias("year"), "id")
+    ingest._write_at(rows, path, at("2025-10-08 23:59:00"))
+    ingest._write_at(rows, path, at("2025-10-09 00:10:00"))
+    landed = scan_all(spark, path)
+    assert sorted(tuple(r) for r in landed.collect()) == [(i, 2025, 10, 9) for i in range(3)]
+    assert listing.names_in(spark, path) == ["year=2025"]
