@@ -5,8 +5,10 @@ a class's shingles, at a rate of 1 / (threshold * size), and follows each as a p
 classes of a path share all its shingles. Paths with few classes are compared at once;
 others sample again and split further. Pairs of a small path pass a size and a one-byte
 min-hash filter; the texts of a path that is large to the end all pass. What passes is
-kept as connecting edges, and inside each of their components all texts are compared
-exactly, in blocks: so no pair is dropped, and none but connecting ones is written.
+kept as connecting edges. Components of many texts are split where a filter on the rarest
+shingles, which drops no link, leaves nothing in common. Inside each component all texts
+are compared exactly, in blocks: so no pair is dropped, and none but connecting ones is
+written.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import bounded_batches, coded, distinct_numbers, mixed, ngram_hashes, releasing, slices, string_hashes, table, words_of, written
@@ -31,6 +33,7 @@ class Join:
     """``recall``: aimed at for a pair of equal sizes at the threshold that splits at every level.
 
     Where one set holds the other, the same runs find such a pair with a chance of 0.996.
+    ``block_pairs``: components that take more pairs of blocks in all are split before.
     """
 
     threshold: float = 0.8
@@ -40,6 +43,7 @@ class Join:
     recall: float = 0.999
     block_chars: int = 2 << 20
     block_texts: int = 512
+    block_pairs: int = 32
 
     @property
     def runs(self) -> int:
@@ -64,6 +68,25 @@ def node_of(words: Column) -> Column:
     return F.unhex(F.md5(words))
 
 
+def shingled(words: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every shingle of the texts, and the position of its text.
+
+    A text of fewer words is one shingle.
+    """
+    found, rows = words_of(words)
+    codes, distinct = coded(found)
+    hashes = string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
+    grams, at = ngram_hashes(hashes, rows, k)
+    owner = rows[at]
+    sizes = np.bincount(rows, minlength=len(words))
+    short = np.flatnonzero((sizes > 0) & (sizes < k))
+    if len(short):
+        first = np.cumsum(sizes) - sizes
+        whole = [int(np.bitwise_xor.reduce(mixed(hashes[first[i] : first[i] + sizes[i]] + np.arange(1, sizes[i] + 1).astype(np.uint64)))) for i in short]
+        grams, owner = np.append(grams, np.array(whole, np.uint64)), np.append(owner, short)
+    return grams, owner
+
+
 def sketches(docs: DataFrame, settings: Join, id_column: str, text_column: str) -> DataFrame:
     """Per row: its class, number of shingles, min-hash bytes, and picked shingles by level."""
     runs, levels = settings.runs, settings.levels
@@ -74,18 +97,7 @@ def sketches(docs: DataFrame, settings: Join, id_column: str, text_column: str)
             texts = batch.num_rows
             if texts >= 1 << 20:
                 raise ValueError("a batch may hold fewer than 2 ** 20 rows")
-            words, rows = words_of(batch.column("words"))
-            codes, distinct = coded(words)
-            hashes = string_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
-            grams, at = ngram_hashes(hashes, rows, settings.shingle)
-            owner = rows[at]
-            # A text of fewer words is one shingle.
-            sizes = np.bincount(rows, minlength=texts)
-            short = np.flatnonzero((sizes > 0) & (sizes < settings.shingle))
-            if len(short):
-                first = np.cumsum(sizes) - sizes
-                whole = [int(np.bitwise_xor.reduce(mixed(hashes[first[i] : first[i] + sizes[i]] + np.arange(1, sizes[i] + 1).astype(np.uint64)))) for i in short]
-                grams, owner = np.append(grams, np.array(whole, np.uint64)), np.append(owner, short)
+            grams, owner = shingled(batch.column("words"), settings.shingle)
             # Distinct shingles of each text: 20 bits of its row, then 44 of the shingle's hash.
             keys = distinct_numbers(owner.astype(np.uint64) << np.uint64(44) | grams >> np.uint64(20))
             owner = (keys >> np.uint64(44)).astype(np.int64)
@@ -222,18 +234,88 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def similarities(words: pa.Array, k: int) -> np.ndarray:
-    """Jaccard similarity of the texts' shingle sets, each with each."""
-    found, rows = words_of(words)
-    codes, distinct = coded(found)
-    hashes = string_hashes(distinct)[codes]
+def weighed(texts: DataFrame, settings: Join) -> DataFrame:
+    """(component, blocks, chars) of the texts' components."""
+    totals = texts.groupBy("component").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
+    blocks = F.ceil(F.greatest(F.col("chars") / settings.block_chars, F.col("n") / settings.block_texts)).cast("int")
+    return totals.where("n > 1").select("component", F.greatest(blocks, F.lit(1)).alias("blocks"), "chars")
+
+
+def shingle_lists(texts: DataFrame, settings: Join) -> DataFrame:
+    """(node, component, grams) of the texts, grams distinct."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "words"):
+            grams, owner = shingled(batch.column("words"), settings.shingle)
+            order = np.lexsort((grams, owner))
+            grams, owner = grams[order], owner[order]
+            new = np.ones(len(grams), bool)
+            new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+            ends = np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=batch.num_rows))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(grams[new].view(np.int64)))
+            yield pa.record_batch([batch.column("node"), batch.column("component"), lists], ["node", "component", "grams"])
+
+    chosen = texts.select("node", "component", "words")
+    return chosen.mapInArrow(releasing(run), "node binary, component binary, grams array<long>")
+
+
+def rare_ties(sets: DataFrame, settings: Join) -> DataFrame:
+    """Edges (a, b) that connect every two linked texts of a component; few others.
+
+    Of sets at the threshold t each has ceil(t * size) shingles of the other, so in any
+    order they share one of the first size - ceil(t * size) + 1 of each. Here the rarest of
+    the component come first; those of one text alone take places, but are never shared.
+    Texts that share a place are tied in order of size, unless their sizes rule out a link.
+    """
+    t = settings.threshold
+    # What rounding could take from a similarity at the threshold is no reason to drop it.
+    least = lambda size: t * size - 1e-6
+    size = F.size("grams").alias("size")
+    rows = sets.select("node", "component", size, F.explode("grams").alias("gram"))
+    rows = rows.select("node", "size", F.xxhash64("component", "gram").alias("token"))
+    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = rows.join(often, "token").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("x"))
+    room = (F.size("x") - F.ceil(least(F.col("size"))) + 1).cast("int")
+    places = shared.withColumn("room", room).where("room > 0")
+    places = places.select("node", "size", F.explode(F.slice("x", 1, F.col("room"))).alias("x")).select("node", "size", "x.token")
+    by_size = Window.partitionBy("token").orderBy("size", "node")
+    places = places.withColumn("lower", F.lag("size").over(by_size))
+    begins = F.coalesce(F.col("lower") < least(F.col("size")), F.lit(True))
+    head = F.last(F.when(begins, F.col("node")), ignorenulls=True).over(by_size)
+    return places.select(head.alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+
+
+def split(texts: DataFrame, settings: Join) -> DataFrame:
+    """The texts (node, words, chars, copies, component) with large components split.
+
+    The candidates chain texts that share a passage or a few words, the more the larger the
+    table, and comparing them grows with the square. Components of many blocks are formed
+    anew from ``rare_ties``, so that no link is lost; texts without a tie leave.
+    """
+    before = None
+    while True:
+        large = written(weighed(texts, settings).where("blocks > 1").select("component", "blocks"), "large")
+        pairs = large.agg(F.sum(F.col("blocks").cast("double") * (F.col("blocks") + 1) / 2)).first()[0] or 0
+        # What stays together is close; splitting it again saves little.
+        if pairs <= settings.block_pairs or (before is not None and pairs > before / 2):
+            return texts
+        before = pairs
+        # A component of them has a block of texts at least.
+        those = F.broadcast(large.select("component"))
+        chained = texts.join(those, "component", "left_semi")
+        sets = written(shingle_lists(chained, settings), "shingles")
+        parts = components(rare_ties(sets, settings), "a", "b")
+        parted = written(chained.drop("component").join(parts, "node"), "texts")
+        texts = texts.join(those, "component", "left_anti").unionByName(parted)
+
+
+def similarities(words: pa.Array, k: int, first: int = 0) -> np.ndarray:
+    """Jaccard similarity of the texts' shingle sets, each with each.
+
+    With ``first``, only of the first so many texts with the others; the rest is 0.
+    """
     n = len(words)
-    counts = np.bincount(rows, minlength=n)
-    grams, at = ngram_hashes(hashes, rows, k)
-    owner = rows[at]
-    for i in np.flatnonzero(counts < k):
-        whole = np.bitwise_xor.reduce(mixed(hashes[rows == i] + np.arange(1, counts[i] + 1).astype(np.uint64)))
-        grams, owner = np.append(grams, whole), np.append(owner, i)
+    grams, owner = shingled(words, k)
     names, gram = np.unique(grams, return_inverse=True)
     pairs = distinct_numbers(owner.astype(np.int64) * len(names) + gram)
     owner, gram = pairs // len(names), pairs % len(names)
@@ -250,12 +332,17 @@ def similarities(words: pa.Array, k: int) -> np.ndarray:
         a, b = np.searchsorted(gram, [low, low + step])
         dense = np.zeros((n, min(step, int(shared.sum()) - low)), np.float32)
         dense[owner[a:b], gram[a:b] - low] = 1
-        both += dense @ dense.T
+        if first:
+            both[:first, first:] += dense[:first] @ dense[first:].T
+        else:
+            both += dense @ dense.T
+    if first:
+        both[first:, :first] = both[:first, first:].T
     return both / (sizes[:, None] + sizes[None, :] - both)
 
 
 def verified(texts: DataFrame, settings: Join) -> DataFrame:
-    """Exact links of the texts (node, words, copies, component) within each component.
+    """Exact links of the texts (node, words, chars, copies, component) within each component.
 
     Components are compared in blocks of bounded text: each pair of blocks is one group,
     and small components share a group. A group returns its texts' numbers of linked
@@ -263,13 +350,12 @@ def verified(texts: DataFrame, settings: Join) -> DataFrame:
     and an edge's other end ``b`` with its similarity, or null.
     """
     t, k = settings.threshold, settings.shingle
-    sized = texts.withColumn("chars", F.length("words"))
-    totals = sized.groupBy("component").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.greatest(F.col("chars") / settings.block_chars, F.col("n") / settings.block_texts)).cast("int")
-    totals = written(totals.where("n > 1").select("component", F.greatest(blocks, F.lit(1)).alias("blocks"), "chars"), "totals")
+    totals = written(weighed(texts, settings), "totals")
     many = totals.where("blocks = 1").agg(F.sum("chars")).first()[0] or 0
     groups = max(1, math.ceil(many / settings.block_chars))
-    dealt = sized.join(totals.select("component", "blocks"), "component")
+    # Broadcast: components of more than one block have a block of texts each.
+    large = F.broadcast(totals.where("blocks > 1").select("component", "blocks"))
+    dealt = texts.join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "partner"), F.greatest("own", "partner")
@@ -278,7 +364,7 @@ def verified(texts: DataFrame, settings: Join) -> DataFrame:
     dealt = dealt.select(one.alias("one"), unit.alias("unit"), "component", low.alias("low"), high.alias("high"), "own", "node", "copies", "words")
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("component", "ascending"), ("low", "ascending"), ("high", "ascending")]).combine_chunks()
+        group = group.sort_by([(c, "ascending") for c in ("component", "low", "high", "own")]).combine_chunks()
         keys = list(zip(*(group.column(c).to_pylist() for c in ("component", "low", "high")), strict=True))
         node, linked, other, score = [], [], [], []
         start = 0
@@ -291,11 +377,12 @@ def verified(texts: DataFrame, settings: Join) -> DataFrame:
             start = stop
             ids, own = part.column("node").to_pylist(), part.column("own").to_numpy()
             words = part.column("words").combine_chunks()
-            near = similarities(words.chunk(0) if isinstance(words, pa.ChunkedArray) else words, k)
-            ok = near >= t
+            words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
+            first = int(np.count_nonzero(own == lo)) if lo != hi else 0
+            if first == len(ids) or (lo != hi and not first):
+                continue
+            ok = (near := similarities(words, k, first)) >= t
             np.fill_diagonal(ok, False)
-            if lo != hi:
-                ok &= own[:, None] != own[None, :]
             total = ok @ part.column("copies").to_numpy()
             edges = dict((j, i) for i, j in forest(ok))
             for i in np.flatnonzero(total).tolist():
@@ -345,7 +432,8 @@ def jaccard_join(
     words = normal(F.col(text_column))
     texts = docs.select(node_of(words).alias("node"), words.alias("words"))
     texts = among(texts, near, "node").join(near.select("node").hint("merge"), "node", "left_semi")
-    texts = written(texts.groupBy("node").agg(F.first("words").alias("words")).join(near, "node"), "texts")
+    texts = texts.groupBy("node").agg(F.first("words").alias("words")).withColumn("chars", F.length("words"))
+    texts = split(written(texts.join(near, "node"), "texts"), settings)
     found = written(verified(texts, settings), "links")
     links = found.where("b is not null").select(F.col("node").alias("a"), "b", "similarity")
     return Joined(members, classes, links, found.groupBy("node").agg(F.sum("linked").alias("linked")))

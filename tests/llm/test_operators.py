@@ -221,6 +221,57 @@ def test_large_paths_and_blocks_lose_no_link(spark):
     assert {r["class_id"] for r in found} == {0} and {r["n_links"] for r in found} == {89}
 
 
+def test_texts_with_a_common_passage_are_not_compared_all(spark, monkeypatch):
+    """A short passage makes candidates of all texts; only those that may be linked are compared."""
+    passage = [f"common{i}" for i in range(14)]
+    rows = [(k, " ".join([*passage, *(f"own{k}x{i}" for i in range(20))])) for k in range(120)]
+    rows += [(1000 + k, rows[k][1].rsplit(" ", 1)[0] + " edited") for k in range(0, 120, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    compared = []
+    plain = jaccard_join.verified
+
+    def verified(texts, settings):
+        compared.extend(r["count"] for r in texts.groupBy("component").count().collect())
+        return plain(texts, settings)
+
+    monkeypatch.setattr(jaccard_join, "verified", verified)
+    settings = jaccard_join.Join(small=256, block_texts=4)
+    found = {r["doc_id"]: r for r in jaccard_join.classified(jaccard_join.jaccard_join(df, settings)).collect()}
+    assert sorted(compared) == [2] * 12
+    assert {d: (r["class_id"], r["n_links"]) for d, r in found.items()} == {
+        d: (d % 1000, int(d >= 1000 or d % 10 == 0)) for d, _ in rows
+    }
+
+
+def test_rare_ties_lose_no_link(spark):
+    """Random sets, with pairs at exactly the threshold, against all pairs; other components apart."""
+    rng = np.random.default_rng(5)
+    sets = [frozenset(range(a, a + 5)) - {a + b} for a in (1000, 2000) for b in (7, 0, 1)]
+    for _ in range(60):
+        base = rng.choice(90, int(rng.integers(1, 40)), replace=False).tolist()
+        sets += [frozenset(base), frozenset([*base[rng.integers(0, 4) :], *rng.integers(100, 999, rng.integers(0, 4)).tolist()])]
+    sets = [x for x in dict.fromkeys(sets) if x]
+    rows = [(bytes([c, k]), bytes([c]), sorted(x)) for c in (0, 1) for k, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "node binary, component binary, grams array<long>")
+    head = {r[0]: r[0] for r in rows}
+
+    def top(x):
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    for r in jaccard_join.rare_ties(df, jaccard_join.Join()).collect():
+        head[top(bytes(r["a"]))] = top(bytes(r["b"]))
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    assert any(len(sets[a] & sets[b]) * 5 == len(sets[a] | sets[b]) * 4 for a, b in linked)
+    for c in (0, 1):
+        assert all(top(bytes([c, a])) == top(bytes([c, b])) for a, b in linked)
+    groups = {}
+    for k in head:
+        groups.setdefault(top(k), set()).add(k[0])
+    assert len(groups) > 20 and all(len(x) == 1 for x in groups.values())
+
+
 def test_repeats_keep_the_first(hard):
     found = {(r["doc_id"], r["kept_doc_id"], r["begin"]) for r in line_dedup.repeats(hard).collect()}
     # Text 4 is there twice: its second row goes whole.
