@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -191,20 +192,39 @@ def candidates(nodes: DataFrame, settings: Join) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
-            ids, sizes, marks = (batch.column(c) for c in ("ids", "sizes", "sketches"))
-            for k in range(batch.num_rows):
-                own = ids[k].as_py()
-                n = np.array(sizes[k].as_py())
-                m = np.frombuffer(b"".join(marks[k].as_py()), np.uint8).reshape(len(own), BINS)
-                low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
-                filled = (m[:, None, :] > 0) | (m[None, :, :] > 0)
-                equal = ((m[:, None, :] == m[None, :, :]) & filled).sum(axis=2)
-                ok = (low >= t * high) & ((low < 2 * BINS) | (equal >= least * filled.sum(axis=2)))
-                for i, j in forest(ok):
-                    left.append(own[i])
-                    right.append(own[j])
-            yield pa.record_batch([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+            sizes = batch.column("sizes").flatten().to_numpy()
+            marks = np.frombuffer(b"".join(batch.column("sketches").flatten().to_pylist()), np.uint8).reshape(-1, BINS)
+            lengths = pc.list_value_length(batch.column("ids")).to_numpy()
+            starts = np.cumsum(lengths) - lengths
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            # Paths of as many texts are compared at once.
+            for n in np.unique(lengths[lengths > 1]).tolist():
+                first, second = np.triu_indices(n, 1)
+                own = starts[lengths == n]
+                step = max(1, (1 << 16) // len(first))
+                for begin in range(0, len(own), step):
+                    a, b = (own[begin : begin + step, None] + k for k in (first, second))
+                    fits = np.minimum(sizes[a], sizes[b]) >= t * np.maximum(sizes[a], sizes[b])
+                    path, a, b = np.nonzero(fits)[0], a[fits], b[fits]
+                    x, y = marks[a], marks[b]
+                    equal, filled = ((x == y) & (x > 0)).sum(axis=1), ((x | y) > 0).sum(axis=1)
+                    ok = (np.minimum(sizes[a], sizes[b]) < 2 * BINS) | (equal >= least * filled)
+                    path, a, b = path[ok], a[ok], b[ok]
+                    alone = np.bincount(path, minlength=1)[path] == 1
+                    left.append(a[alone])
+                    right.append(b[alone])
+                    path, a, b = path[~alone], a[~alone], b[~alone]
+                    ends = np.flatnonzero(np.diff(path, append=-1)) + 1
+                    for low, high in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False):
+                        at = own[begin + path[low]]
+                        linked = np.zeros((n, n), bool)
+                        linked[a[low:high] - at, b[low:high] - at] = True
+                        edges = np.array(forest(linked | linked.T)) + at
+                        left.append(edges[:, 0])
+                        right.append(edges[:, 1])
+            ids = batch.column("ids").flatten()
+            ends = [ids.take(pa.array(np.concatenate(x))) for x in (left, right)]
+            yield pa.record_batch(ends, ["a", "b"])
 
     # A small path has at most ``small`` texts.
     members = small.join(nodes.select("node", "size", "sketch"), "node").groupBy("path").agg(
