@@ -33,16 +33,21 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Give back what this process holds of free memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Of the C library on Linux; others have no such call.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def releasing(work):
     """A step of ``mapInArrow`` after which the worker, which waits for other tasks, gives back free memory."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        # Of the C library on Linux; others have no such call.
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        release()
 
     return run
 

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import bounded_batches, coded, distinct_numbers, mixed, ngram_hashes, releasing, slices, string_hashes, table, words_of, written
+from lendspark.llm.common import bounded_batches, coded, distinct_numbers, mixed, ngram_hashes, release, releasing, slices, string_hashes, table, words_of, written
 from lendspark.llm.components import components
 
 BINS = 64
@@ -191,7 +191,8 @@ def candidates(nodes: DataFrame, settings: Join) -> DataFrame:
     small, large = paths(nodes, settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        pieces = (x.slice(at, 2048) for x in batches for at in range(0, x.num_rows, 2048))
+        for batch in pieces:
             sizes = batch.column("sizes").flatten().to_numpy()
             marks = np.frombuffer(b"".join(batch.column("sketches").flatten().to_pylist()), np.uint8).reshape(-1, BINS)
             lengths = pc.list_value_length(batch.column("ids")).to_numpy()
@@ -201,7 +202,7 @@ def candidates(nodes: DataFrame, settings: Join) -> DataFrame:
             for n in np.unique(lengths[lengths > 1]).tolist():
                 first, second = np.triu_indices(n, 1)
                 own = starts[lengths == n]
-                step = max(1, (1 << 16) // len(first))
+                step = max(1, (1 << 14) // len(first))
                 for begin in range(0, len(own), step):
                     a, b = (own[begin : begin + step, None] + k for k in (first, second))
                     fits = np.minimum(sizes[a], sizes[b]) >= t * np.maximum(sizes[a], sizes[b])
@@ -411,6 +412,8 @@ def verified(texts: DataFrame, settings: Join) -> DataFrame:
                 at = edges.get(i)
                 other.append(None if at is None else ids[at])
                 score.append(None if at is None else float(near[i, at]))
+            del near, ok
+        release()
         return pa.table(
             [pa.array(node, pa.binary()), pa.array(linked, pa.int64()), pa.array(other, pa.binary()), pa.array(score, pa.float64())],
             ["node", "linked", "b", "similarity"],
